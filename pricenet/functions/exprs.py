@@ -30,8 +30,15 @@ def clip(c, lo: float, hi: float) -> Column:
 
 
 def rnd(c, digits: int = 6) -> Column:
-    """Round for comparison and add 0.0 so -0.0 prints as 0.0."""
-    return F.round(col_or_name(c), digits) + F.lit(0.0)
+    """Round for cross-engine comparison; -0.0 becomes 0.0.
+
+    Computed as round(x * 10^d) / 10^d: scaling is exact IEEE arithmetic
+    and a tie at 0 decimals is an exact binary .5, so every engine that
+    rounds half away from zero gets the same double (rounding x directly
+    to d decimals differs between decimal-string and binary rounding).
+    """
+    scale = float(10 ** digits)
+    return F.round(col_or_name(c) * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)
 
 
 def abs_pearson(x: str, y: str) -> Column:

@@ -91,6 +91,6 @@ def top_per_metric(cent: DataFrame, k: int = 3) -> DataFrame:
     before the shuffle (WindowGroupLimit), so only k rows per metric and
     partition move.
     """
-    w = Window.partitionBy("metric").orderBy(F.col("value").desc(), "city", "year", "category")
+    w = Window.partitionBy("metric").orderBy(F.round("value", 9).desc(), "city", "year", "category")
     return (_long_metrics(cent).withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k))

@@ -20,6 +20,8 @@ from pricenet.operators.centrality import METRIC_COLS
 from pricenet.session import GROUP
 
 SCHEME_COLS = [s.lower() for s in SCHEMES]
+# Scores equal to 9 decimals are ties (broken by city): float noise must not reorder.
+RANK_DIGITS = 9
 _PAIRS = [(a, b) for i, a in enumerate(METRIC_COLS) for b in METRIC_COLS[i + 1:]]
 
 
@@ -161,7 +163,7 @@ def rankings(year_scores: DataFrame, scheme: str, year: int | None = None) -> Da
     """
     s = check_scheme(scheme).lower()
     df = year_scores if year is None else year_scores.where(F.col("year") == F.lit(year))
-    w = Window.partitionBy("year").orderBy(F.col(s).desc(), F.col("city").asc())
+    w = Window.partitionBy("year").orderBy(F.round(s, RANK_DIGITS).desc(), F.col("city").asc())
     return df.select("year", F.row_number().over(w).alias("rank"), "city", s)
 
 
@@ -176,7 +178,7 @@ def compare_schemes(year_scores: DataFrame, year: int | None = None, top_n: int
     present = [s for s in SCHEME_COLS if s in year_scores.columns]
     df = year_scores if year is None else year_scores.where(F.col("year") == F.lit(year))
     long = df.unpivot(["year", "city"], present, "scheme", "score")
-    w = Window.partitionBy("year", "scheme").orderBy(F.col("score").desc(), F.col("city").asc())
+    w = Window.partitionBy("year", "scheme").orderBy(F.round("score", RANK_DIGITS).desc(), F.col("city").asc())
     top = long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
     aggs = []
     for s in present:
