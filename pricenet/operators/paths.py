@@ -40,10 +40,11 @@ class ShortestPaths:
 def shortest_paths(nodes: DataFrame, edges: DataFrame, max_hops: int | None = None) -> ShortestPaths:
     """Level-synchronous BFS with path counting (sigma as DOUBLE).
 
-    ``max_hops`` only bounds the loop for safety in tests; by default it runs
-    until the frontier is empty, which is exact.
+    Every level is written to the checkpoint folder (one job) and the loop
+    stops at the first empty level, which is exact.  ``max_hops`` only
+    bounds the loop for safety in tests.
     """
-    adj = cut_lineage(adjacency(edges))
+    adj = cut_lineage(adjacency(edges).withColumnRenamed("src", "t"))
     level0 = cut_lineage(nodes.select(
         *GROUP, F.col("city").alias("s"), F.col("city").alias("t"),
         F.lit(0).alias("d"), F.lit(1.0).alias("sigma")))
@@ -51,7 +52,7 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, max_hops: int | None = No
     hop = 0
     while max_hops is None or hop < max_hops:
         front = levels[-1]
-        step = (front.join(adj.withColumnRenamed("src", "t"), GROUP + ["t"])
+        step = (front.join(adj, GROUP + ["t"])
                 .groupBy(*GROUP, "s", F.col("dst").alias("t"))
                 .agg(F.sum("sigma").alias("sigma")))
         seen = front.select(*GROUP, "s", "t")
@@ -60,7 +61,8 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, max_hops: int | None = No
         nxt = (step.join(seen, GROUP + ["s", "t"], "left_anti")
                .select(*GROUP, "s", "t", F.lit(hop + 1).alias("d"), "sigma"))
         nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+        empty = nxt.isEmpty()
+        if empty:
             break
         levels.append(nxt)
         hop += 1

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +22,7 @@ from pricenet.operators import paths as P
 from pricenet.operators import scoring as W
 from pricenet.operators import vectors as V
 from pricenet.operators.eigen import DEFAULT_GROUP_EDGE_LIMIT, eigenvector
-from pricenet.session import GROUP
+from pricenet.session import GROUP, cut_lineage
 
 
 class Analysis:
@@ -46,17 +45,15 @@ class Analysis:
         if categories is not None:
             obs = obs.where(F.col("category").isin(list(categories)))
         self.observations = obs
-        self._persisted: list[DataFrame] = []
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        self._persisted.append(df)
-        return df
-
-    def release(self) -> None:
-        for df in self._persisted:
-            df.unpersist()
-        self._persisted.clear()
+        """Materialise a table shared by many consumers.
+
+        Written to the reliable checkpoint folder: later plans start from a
+        compact scan instead of re-planning (and after an executor loss
+        re-running) the whole lineage behind it.
+        """
+        return cut_lineage(df)
 
     # ------------------------------------------------------------ vectors
     @cached_property

@@ -25,7 +25,7 @@ from pricenet.operators import temporal as TT
 from pricenet.operators import vectors as V
 from pricenet.plans import report as S
 from pricenet.plans.analysis import Analysis
-from pricenet.session import GROUP, ensure_checkpoint_dir
+from pricenet.session import GROUP, cut_lineage, ensure_checkpoint_dir
 from pricenet.sources import panel
 
 # Fixed query parameters.
@@ -66,7 +66,7 @@ class Context:
         ensure_checkpoint_dir(spark)
         self.spark = spark
         self.sf_dir = sf_dir
-        self.obs = panel.fixture_observations(spark, sf_dir).persist()
+        self.obs = cut_lineage(panel.fixture_observations(spark, sf_dir))
         self.roster = panel.fixture_roster(spark, sf_dir)
         self._analyses: dict[tuple, Analysis] = {}
 

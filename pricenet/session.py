@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,10 +63,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder.
+    """Write ``df`` as a parquet table in the checkpoint folder and read it back.
 
-    Used between rounds of iterative steps so a lost executor recomputes
-    from the last checkpoint instead of replaying every round.
+    Later plans start from a compact file scan instead of re-planning (and,
+    after an executor loss, re-running) the whole lineage.  Unlike an RDD
+    checkpoint, the file scan carries size statistics, so the planner can
+    broadcast a small result behind its size threshold and prune columns.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/pricenet-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
