@@ -1,0 +1,88 @@
+"""Sources, preparation, sinks and the report."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from pricenet.plans import job
+from pricenet.plans.report import RESULT_TABLES, save_results
+from pricenet.sources import manifest, panel
+from tests.conftest import SF_SMALL
+
+
+def test_required_columns(spark):
+    df = spark.createDataFrame([("A", 2024)], "City string, Year int")
+    with pytest.raises(ValueError, match="Category"):
+        panel.observations(df)
+
+
+def test_reference_names_and_ordinal(spark):
+    df = spark.createDataFrame([("A", 2024, "Food", "2024-01", "rice", 1.5)],
+                               "City string, Year int, Category string, Month_Year string, "
+                               "Item_Description string, Normalized_Price double")
+    out = panel.observations(df)
+    assert out.columns == ["city", "year", "category", "month_year", "item_description",
+                           "normalized_price", "ordinal"]
+
+
+def test_csv_source_with_schema(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "obs.csv")
+    with open(p, "w") as f:
+        f.write("City,Year,Category,Month_Year,Item_Description,Normalized_Price\n")
+        f.write("A,2024,Food,2024-01,rice,0.5\nB,2024,Food,2024-01,rice,\n")
+    out = panel.read_observations(spark, p, "csv").collect()
+    assert len(out) == 2 and out[1].normalized_price is None and out[0].year == 2024
+
+
+def test_unpivot_time_categorize_zscore(spark):
+    wide = spark.createDataFrame([("2024-01-15", "rice", 10.0, None), ("2024-02-15", "rice", 14.0, 12.0)],
+                                 "d string, item_description string, A double, B double")
+    long = panel.unpivot_cities(wide, ["d", "item_description"], ["A", "B"])
+    assert long.count() == 3
+    t = panel.time_features(long.withColumn("d", F.to_date("d")), "d")
+    assert {r.month_year for r in t.collect()} == {"2024-01", "2024-02"}
+    cat = panel.categorize(t, {"rice": "Food"})
+    assert {r.category for r in cat.collect()} == {"Food"}
+    z = panel.zscore(cat).collect()
+    vals = sorted(r.normalized_price for r in z)
+    assert vals == pytest.approx([-1.0, 0.0, 1.0])
+    const = panel.zscore(cat.withColumn("price", F.lit(3.0))).collect()
+    assert {r.normalized_price for r in const} == {0.0}
+
+
+def test_fixture_panel_shape(spark):
+    obs = panel.fixture_observations(spark, SF_SMALL)
+    assert set(obs.columns) == {"city", "year", "category", "month_year", "item_description", "normalized_price"}
+    assert obs.groupBy("city", "year", "month_year", "item_description").count().where("count > 1").count() == 0
+    roster = panel.fixture_roster(spark, SF_SMALL)
+    assert roster[-1] == panel.ABSENT_CITY and len(roster) == 26
+
+
+def test_manifest_union_and_rollup(spark, tmpdir_path):
+    a = os.path.join(tmpdir_path, "a.csv")
+    b = os.path.join(tmpdir_path, "b.csv")
+    with open(a, "w") as f:
+        f.write("Month_Year,Status,Timestamp,Filepath\n2024-01,Success,2024-02-01 10:00:00,x/a.pdf\n")
+    with open(b, "w") as f:
+        f.write("Status,Timestamp,Month,Data_Type,Filename,URL,File_Size_MB\n"
+                "Downloaded,2024-02-01 11:00:00,January,SPI,b.pdf,http://h/b.pdf,0.3\n"
+                "Downloaded,2024-02-01 11:05:00,February,SPI,c.pdf,http://h/c.pdf,0.4\n")
+    m = manifest.read_manifest(spark, [a, b])
+    assert m.columns == manifest.MANIFEST_COLUMNS and m.count() == 3
+    roll = {r.Status: (r.files, r.total_mb) for r in manifest.status_rollup(m).collect()}
+    assert roll["Downloaded"][0] == 2 and roll["Downloaded"][1] == pytest.approx(0.7)
+    assert roll["Success"] == (1, None)
+
+
+def test_full_job_and_sink(spark, tmpdir_path):
+    obs = panel.fixture_observations(spark, SF_SMALL)
+    roster = panel.fixture_roster(spark, SF_SMALL)
+    res = job.run_full_analysis(obs, roster, tau=0.2, output_dir=tmpdir_path,
+                                categories=["ECONOMY", "PROMO"])
+    for name in RESULT_TABLES:
+        assert res[name] is not None
+        assert os.path.isdir(os.path.join(tmpdir_path, name))
+    back = spark.read.parquet(os.path.join(tmpdir_path, "centrality_scores"))
+    assert back.count() == res["centrality_scores"].count()
+    assert "# Price Network Analysis Report" in res["report"] and "Top 5 Cities" in res["report"]
