@@ -40,27 +40,39 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting one only if unset.
+    """Return the shared checkpoint folder, setting one only if none is named.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    wins.  Only a local-mode session without any setting (tests, laptops)
-    gets a private temporary folder — a machine-local folder is useless on a
-    cluster, so there we refuse instead of guessing.
+    wins, then a folder already set on the context.  Only a local-mode
+    session without any setting (tests, laptops) gets a private temporary
+    folder — a machine-local folder is useless on a cluster, so there we
+    refuse instead of guessing.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; iterative graph steps need a "
-                "shared checkpoint folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="pricenet-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext
+        sc = None
+    if conf_dir:
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(conf_dir)
+        return conf_dir
+    if sc is not None:
+        current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        if current:
+            return current
+        master = sc.master
+    else:
+        master = spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; iterative graph steps need a "
+            "shared checkpoint folder on a cluster")
+    local_dir = tempfile.mkdtemp(prefix="pricenet-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", local_dir)
+    if sc is not None:
+        sc.setCheckpointDir(local_dir)
+    return local_dir
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
