@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricenet.operators.graph import adjacency
-from pricenet.session import GROUP, cut_lineage
+from pricenet.session import GROUP, cut_lineage, cut_lineage_counted
 
 
 @dataclass
@@ -60,9 +60,8 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, max_hops: int | None = No
             seen = seen.unionByName(levels[-2].select(*GROUP, "s", "t"))
         nxt = (step.join(seen, GROUP + ["s", "t"], "left_anti")
                .select(*GROUP, "s", "t", F.lit(hop + 1).alias("d"), "sigma"))
-        nxt = cut_lineage(nxt)
-        empty = nxt.isEmpty()
-        if empty:
+        nxt, rows = cut_lineage_counted(nxt)
+        if rows == 0:
             break
         levels.append(nxt)
         hop += 1

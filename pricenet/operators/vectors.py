@@ -3,7 +3,7 @@
 Vectors stay long and sparse: ``features(year, category, city, feature,
 value)``.  A missing cell is a zero, exactly as the zero-filled pivot of the
 reference, but no (city x feature) matrix is ever materialised.  Similarity
-is a self-join on ``(year, category, feature)`` restricted to ``u < v``; each
+is a self-join on ``(year, category, feature)`` restricted to ``u <= v``; each
 join key holds at most one row per roster city (after de-duplication), so a
 hot slice or a hot feature cannot make one key grow with the data.
 """
@@ -99,20 +99,22 @@ def cosine_pairs(rfeats: DataFrame) -> DataFrame:
 
     Output ``(year, category, u, v, sim)`` with ``u < v``.  Pairs absent from
     the output have similarity 0 (no shared non-zero feature, or a zero
-    vector).  The dot products are partially aggregated in the join stage,
-    so only one row per (slice, u, v, task) is shuffled.  Norms are joined
-    to the already-aggregated pairs (at most roster^2 per slice), not to the
-    feature stream.
+    vector).  One self-join on ``(year, category, feature)`` with ``u <= v``
+    yields all dot products; its diagonal (u = v) holds the squared norms,
+    so the feature stream is shuffled once.  Dot products are partially
+    aggregated in the join stage (one row per slice, pair and task leaves
+    it); the norms are then joined to the aggregated pairs — at most
+    roster^2 / 2 per slice — never to the feature stream.
     """
     a = rfeats.select(*GROUP, "feature", F.col("city").alias("u"), F.col("value").alias("a"))
     b = rfeats.select(*GROUP, "feature", F.col("city").alias("v"), F.col("value").alias("b"))
-    dots = (a.join(b, GROUP + ["feature"]).where(F.col("u") < F.col("v"))
+    dots = (a.join(b, GROUP + ["feature"]).where(F.col("u") <= F.col("v"))
             .groupBy(*GROUP, "u", "v").agg(F.sum(F.col("a") * F.col("b")).alias("dot")))
-    nrm = norms(rfeats)
-    nu = nrm.select(*GROUP, F.col("city").alias("u"), F.col("norm").alias("nu"))
-    nv = nrm.select(*GROUP, F.col("city").alias("v"), F.col("norm").alias("nv"))
+    diag = dots.where(F.col("u") == F.col("v"))
+    nu = diag.select(*GROUP, "u", F.sqrt("dot").alias("nu"))
+    nv = diag.select(*GROUP, F.col("v"), F.sqrt("dot").alias("nv"))
     sim = F.col("dot") / (F.col("nu") * F.col("nv"))
-    return (dots.join(nu, GROUP + ["u"]).join(nv, GROUP + ["v"])
+    return (dots.where(F.col("u") < F.col("v")).join(nu, GROUP + ["u"]).join(nv, GROUP + ["v"])
             .select(*GROUP, "u", "v", clip(sim, -1.0, 1.0).alias("sim")))
 
 

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Groups of the key (year, category) always travel together.
 GROUP = ["year", "category"]
@@ -83,8 +84,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     checkpoint, the file scan carries size statistics, so the planner can
     broadcast a small result behind its size threshold and prune columns.
     """
+    return cut_lineage_counted(df, count=False)[0]
+
+
+def cut_lineage_counted(df: DataFrame, count: bool = True) -> tuple[DataFrame, int | None]:
+    """:func:`cut_lineage` that also returns the number of rows written.
+
+    The count is observed while the write job runs (no second job).
+    """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/pricenet-tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = None
+    if count:
+        obs = Observation("rows")
+        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        rows = int(obs.get["n"])
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), rows
