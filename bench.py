@@ -20,7 +20,6 @@ from pricenet.operators import scoring as W  # noqa: E402
 from pricenet.operators import vectors as V  # noqa: E402
 from pricenet.plans import catalog  # noqa: E402
 from pricenet.session import get_session  # noqa: E402
-from pricenet.sources import panel  # noqa: E402
 
 
 def run(df) -> None:
@@ -51,10 +50,8 @@ def main() -> None:
     timed("clustering_evolution", lambda: run(a.evolution))
     timed("rankings", lambda: run(W.rankings(a.year_scores, "Score_Equal")))
 
-    def brand():
-        obs = panel.fixture_observations(spark, sf_dir, item_col="p_brand")
-        run(V.cosine_pairs(V.roster_features(V.features(obs), ctx.roster)))
-    timed("cosine_pairs_brand", brand)
+    timed("panel_brand", lambda: ctx.brand_obs)
+    timed("cosine_pairs_brand", lambda: run(V.cosine_pairs(V.roster_features(V.features(ctx.brand_obs), ctx.roster))))
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({

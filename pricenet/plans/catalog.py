@@ -69,6 +69,14 @@ class Context:
         self.obs = cut_lineage(panel.fixture_observations(spark, sf_dir))
         self.roster = panel.fixture_roster(spark, sf_dir)
         self._analyses: dict[tuple, Analysis] = {}
+        self._brand_obs: DataFrame | None = None
+
+    @property
+    def brand_obs(self) -> DataFrame:
+        """Panel at brand granularity (item = p_brand), materialised once."""
+        if self._brand_obs is None:
+            self._brand_obs = cut_lineage(panel.fixture_observations(self.spark, self.sf_dir, item_col="p_brand"))
+        return self._brand_obs
 
     def analysis(self, tau: float = TAU, weighted: bool = False, **kw) -> Analysis:
         key = (tau, weighted, tuple(sorted((k, repr(v)) for k, v in kw.items())))
@@ -137,8 +145,8 @@ def q_feature_key(spark, d):
 
 
 def q_cosine_pairs_brand(spark, d):
-    obs = panel.fixture_observations(spark, d, item_col="p_brand")
-    return V.cosine_pairs(V.roster_features(V.features(obs), ctx(spark, d).roster))
+    c = ctx(spark, d)
+    return V.cosine_pairs(V.roster_features(V.features(c.brand_obs), c.roster))
 
 
 def q_induced_subgraph(spark, d):

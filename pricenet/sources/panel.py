@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from pricenet.functions.exprs import safe_div
 from pricenet.functions.validation import OBSERVATION_COLUMNS, require_columns
+from pricenet.session import cut_lineage
 
 OBSERVATION_SCHEMA = T.StructType([
     T.StructField("City", T.StringType()),
@@ -181,9 +182,12 @@ def fixture_observations(spark: SparkSession, sf_dir: str, item_col: str = "p_ty
     """Z-scored observation table derived from the driver tables.
 
     Keys (city, year, month, item) are unique after the aggregation, so no
-    ordinal is needed to pick a first value.
+    ordinal is needed to pick a first value.  The aggregated panel is
+    written once (it is read twice: statistics and values), so the five-way
+    join behind it never runs twice.
     """
-    return zscore(raw_price_panel(spark, sf_dir, item_col)).select(
+    raw = cut_lineage(raw_price_panel(spark, sf_dir, item_col))
+    return zscore(raw).select(
         "city", "year", "category", "month_year", "item_description", "normalized_price")
 
 
