@@ -76,6 +76,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local_dir
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Sub-folder for this application's intermediate tables.
+
+    All tables one application writes share ``pricenet-tables/<app id>``
+    under the checkpoint folder, so one delete removes a finished run.
+    """
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext
+        return spark.conf.get("spark.app.id", "run")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table in the checkpoint folder and read it back.
 
@@ -94,7 +106,7 @@ def cut_lineage_counted(df: DataFrame, count: bool = True) -> tuple[DataFrame, i
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/pricenet-tables/{uuid.uuid4().hex}"
+    path = f"{root}/pricenet-tables/{run_folder(spark)}/{uuid.uuid4().hex}"
     rows = None
     if count:
         obs = Observation("rows")

@@ -86,3 +86,18 @@ def test_full_job_and_sink(spark, tmpdir_path):
     back = spark.read.parquet(os.path.join(tmpdir_path, "centrality_scores"))
     assert back.count() == res["centrality_scores"].count()
     assert "# Price Network Analysis Report" in res["report"] and "Top 5 Cities" in res["report"]
+
+
+def test_cli_main(spark, tmpdir_path):
+    obs = panel.fixture_observations(spark, SF_SMALL).select(
+        F.col("city").alias("City"), F.col("year").alias("Year"), F.col("category").alias("Category"),
+        F.col("month_year").alias("Month_Year"), F.col("item_description").alias("Item_Description"),
+        F.col("normalized_price").alias("Normalized_Price"))
+    src = os.path.join(tmpdir_path, "obs")
+    obs.write.parquet(src)
+    cities = ",".join(panel.fixture_roster(spark, SF_SMALL))
+    out = os.path.join(tmpdir_path, "out")
+    assert job.main(["--input", src, "--cities", cities, "--threshold", "0.2", "--output", out,
+                     "--categories", "ECONOMY", "--years", "1996", "1997", "--quick"]) == 0
+    ranks = spark.read.parquet(os.path.join(out, "final_rankings"))
+    assert {r.year for r in ranks.select("year").distinct().collect()} == {1996}
