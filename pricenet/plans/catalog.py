@@ -265,6 +265,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overview_counts": lambda s, d: G.overview_counts(ctx(s, d).obs, TAU),
     "report_summary": _q(lambda a: S.summary_counts(a.networks, a.centrality, a.evolution)),
     "report_top5": _q(lambda a: S.top5_by_year(a.year_scores, 5)),
+    # the original default threshold and the eigenvector failure case
+    "network_metadata_tau075": lambda s, d: ctx(s, d).analysis(tau=0.75).metadata,
+    "centrality_all_tau075": lambda s, d: ctx(s, d).analysis(tau=0.75).centrality,
+    "eigenvector_centrality_tau05": lambda s, d: ctx(s, d).analysis(tau=0.5).eigenvector,
+    "path_metrics_tau05": lambda s, d: ctx(s, d).analysis(tau=0.5).path_metrics,
 }
 
 

@@ -16,8 +16,8 @@ G = "year, category"
 WALK_DEPTH = 12  # must exceed the largest finite hop distance
 
 
-def _tau_edges(tau: float) -> str:
-    return f"SELECT year, category, u, v, sim, 1.0::DOUBLE AS weight FROM pairs WHERE sim >= {tau!r}"
+def _tau_edges(tau: str) -> str:
+    return f"SELECT year, category, u, v, sim, 1.0::DOUBLE AS weight FROM pairs WHERE sim >= {tau}"
 
 
 def _r(expr: str, alias: str, digits: int = 6) -> str:
@@ -94,12 +94,12 @@ CTES: dict[str, tuple[list[str], str]] = {
           ON nu.year = d.year AND nu.category = d.category AND nu.city = d.u
         JOIN (SELECT year, category, city, sqrt(sum(value * value)) AS norm FROM rf_brand GROUP BY 1, 2, 3) nv
           ON nv.year = d.year AND nv.category = d.category AND nv.city = d.v"""),
-    "edges": (["pairs"], _tau_edges(Q.TAU)),
+    "edges": (["pairs"], _tau_edges("{TAU}")),
     "meta": (["groups", "edges", "nr"], f"""
         SELECT g.year, g.category, CAST((SELECT n FROM nr) AS BIGINT) AS num_nodes,
                CAST(count(e.u) AS BIGINT) AS num_edges,
                count(e.u) / ((SELECT n FROM nr) * ((SELECT n FROM nr) - 1) / 2.0) AS density,
-               {Q.TAU!r}::DOUBLE AS threshold, false AS weighted
+               {{TAU}}::DOUBLE AS threshold, false AS weighted
         FROM groups g LEFT JOIN edges e ON e.year = g.year AND e.category = g.category
         GROUP BY 1, 2"""),
     "nets": (["meta"], "SELECT * FROM meta WHERE num_edges > 0"),
@@ -271,7 +271,11 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
-def build(final: str, needs: list[str]) -> str:
+def build(final: str, needs: list[str], tau: float = Q.TAU) -> str:
+    """WITH RECURSIVE prefix of the needed CTEs (dependencies first), then ``final``.
+
+    ``{TAU}`` in a fragment is the network threshold of this oracle.
+    """
     order: list[str] = []
 
     def visit(name: str) -> None:
@@ -283,7 +287,7 @@ def build(final: str, needs: list[str]) -> str:
 
     for n in needs:
         visit(n)
-    body = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
+    body = ",\n".join(f"{n} AS ({CTES[n][1].replace('{TAU}', repr(float(tau)))}\n)" for n in order)
     return f"WITH RECURSIVE {body}\n{final}"
 
 
@@ -512,4 +516,17 @@ ORACLES: dict[str, str] = {
           SELECT year, city, score_equal,
                  CAST(row_number() OVER (PARTITION BY year ORDER BY round(score_equal, 9) DESC, city) AS INTEGER) AS rank
           FROM yscores) WHERE rank <= 5""", ["yscores"]),
+    # the original default threshold and the eigenvector failure case
+    "network_metadata_tau075": build(f"SELECT year, category, num_nodes, num_edges, {_r('density', 'density')}, "
+                                     f"{_r('threshold', 'threshold')}, weighted FROM meta", ["meta"], tau=0.75),
+    "centrality_all_tau075": build(f"SELECT {CENT_COLS} FROM cent", ["cent"], tau=0.75),
+    "eigenvector_centrality_tau05": build(f"SELECT year, category, city, {_r('e_i', 'e_i')} FROM ec", ["ec"],
+                                          tau=0.5),
+    "path_metrics_tau05": build(f"""
+        SELECT k.year, k.category, k.num_components, k.is_connected,
+               CASE WHEN k.is_connected AND (SELECT n FROM nr) > 1 THEN CAST(p.diam AS BIGINT) END AS diameter,
+               {_r('CASE WHEN k.is_connected AND (SELECT n FROM nr) > 1 THEN p.apl END', 'avg_path_length')}
+        FROM ccount k LEFT JOIN (SELECT year, category, max(d) AS diam, avg(d) AS apl
+                                 FROM paths WHERE d > 0 GROUP BY 1, 2) p USING (year, category)""",
+                                ["ccount", "paths", "nr"], tau=0.5),
 }
