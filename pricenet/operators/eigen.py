@@ -23,7 +23,7 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pricenet.functions.validation import EIGEN_MAX_ITER, EIGEN_TOL
@@ -81,32 +81,43 @@ def _grouped(nodes: DataFrame, edges: DataFrame, max_iter: int, tol: float) -> D
 
 
 def _iterative(nodes: DataFrame, edges: DataFrame, n: int, max_iter: int, tol: float) -> DataFrame:
-    """The same rounds as DataFrame operations, for networks too big for one task."""
+    """The same rounds as DataFrame operations, for networks too big for one task.
+
+    One round: every node sends its value to itself and to its neighbours
+    (one shuffle on (network, node) gives (A + I) x and the previous value
+    side by side), then two per-network aggregates (norm, L1 change) that are
+    one row per network and join back by broadcast.  Each round is written
+    once to the checkpoint folder; the count of still-moving rows is
+    observed during that write.  Converged networks leave the loop; those
+    still moving after ``max_iter`` rounds get zeros.
+    """
     adj = cut_lineage(adjacency(edges))
     x = cut_lineage(nodes.select(*GROUP, "city", F.lit(1.0 / n).alias("x")))
-    done = []
+    done: list[DataFrame] = []
+    limit = F.lit(n * tol)
     for _ in range(max_iter):
-        spread = (x.join(adj, (x.year == adj.year) & (x.category == adj.category) & (x.city == adj.src))
-                  .groupBy(adj.year, adj.category, adj.dst.alias("city"))
-                  .agg(F.sum("x").alias("add")))
-        y = (x.join(spread, GROUP + ["city"], "left")
-             .withColumn("y", F.col("x") + F.coalesce("add", F.lit(0.0))).drop("add"))
+        own = x.select(*GROUP, "city", F.col("x").alias("add"), F.col("x").alias("last"))
+        sent = (x.join(adj, (x.year == adj.year) & (x.category == adj.category) & (x.city == adj.src))
+                .select(adj.year, adj.category, adj.dst.alias("city"), F.col("x").alias("add"),
+                        F.lit(0.0).alias("last")))
+        y = own.unionByName(sent).groupBy(*GROUP, "city").agg(
+            F.sum("add").alias("y"), F.sum("last").alias("last"))
         nrm = y.groupBy(*GROUP).agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("nrm"))
-        y = (y.join(nrm, GROUP)
-             .withColumn("y", F.col("y") / F.when(F.col("nrm") == 0, F.lit(1.0)).otherwise(F.col("nrm")))
-             .drop("nrm"))
-        change = y.groupBy(*GROUP).agg(F.sum(F.abs(F.col("y") - F.col("x"))).alias("l1"))
-        state = cut_lineage(y.join(change, GROUP))
-        conv = state.where(F.col("l1") < F.lit(n * tol))
-        done.append(cut_lineage(conv.select(*GROUP, "city", F.col("y").alias("e_i"))))
-        x = cut_lineage(state.where(F.col("l1") >= F.lit(n * tol)).select(*GROUP, "city", F.col("y").alias("x")))
-        if x.isEmpty():
+        y = y.join(nrm, GROUP).withColumn(
+            "y", F.col("y") / F.when(F.col("nrm") == 0, F.lit(1.0)).otherwise(F.col("nrm"))).drop("nrm")
+        change = y.groupBy(*GROUP).agg(F.sum(F.abs(F.col("y") - F.col("last"))).alias("l1"))
+        state = y.join(change, GROUP)
+        obs = Observation("moving")
+        state = state.observe(obs, F.count_if(F.col("l1") >= limit).alias("moving"))
+        state = cut_lineage(state)
+        done.append(state.where(F.col("l1") < limit).select(*GROUP, "city", F.col("y").alias("e_i")))
+        x = state.where(F.col("l1") >= limit).select(*GROUP, "city", F.col("y").alias("x"))
+        if obs.get["moving"] == 0:
             break
-    failed = x.select(*GROUP, "city", F.lit(0.0).alias("e_i"))
-    out = failed
+    out = x.select(*GROUP, "city", F.lit(0.0).alias("e_i"))
     for d in done:
         out = out.unionByName(d)
-    return out
+    return cut_lineage(out)
 
 
 def eigenvector(nodes: DataFrame, edges: DataFrame, networks: DataFrame, n: int,
