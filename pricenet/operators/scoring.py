@@ -140,11 +140,13 @@ def scores_all(cent: DataFrame, category_weights: Mapping[str, float] | None = N
     return out.drop(*[f"wc_{m}" for m in METRIC_COLS], *[f"we_{m}" for m in METRIC_COLS])
 
 
-def scores_by_year(scores: DataFrame) -> DataFrame:
+def scores_by_year(scores: DataFrame, sort: bool = True) -> DataFrame:
     """(year, city) roll-up — mean of four schemes, sum of category-weighted.
 
     Only scheme columns present are aggregated; averages run over the
-    networks that exist for that year.
+    networks that exist for that year.  ``sort`` orders by year, then
+    score_equal descending (a global sort: leave it off when the result
+    feeds further ranking or aggregation).
     """
     aggs = []
     for s in SCHEME_COLS:
@@ -152,6 +154,8 @@ def scores_by_year(scores: DataFrame) -> DataFrame:
             fn = F.sum if s == "score_category_weighted" else F.avg
             aggs.append(fn(s).alias(s))
     out = scores.groupBy("year", "city").agg(*aggs)
+    if not sort:
+        return out
     order = [F.col("year").asc()] + ([F.col("score_equal").desc()] if "score_equal" in out.columns else [])
     return out.orderBy(*order, F.col("city").asc())
 

@@ -159,12 +159,17 @@ class Analysis:
 
     @cached_property
     def year_scores(self) -> DataFrame:
-        return W.scores_by_year(self.scores)
+        """W9 roll-up, unsorted (ranking consumers order it themselves)."""
+        return W.scores_by_year(self.scores, sort=False)
 
     # ------------------------------------------------------------ evolution
     @cached_property
     def evolution(self) -> DataFrame:
-        """Nodes, Edges, Density, Clustering, Components, IsConnected."""
+        """Nodes, Edges, Density, Clustering, Components, IsConnected.
+
+        Unsorted; :func:`pricenet.plans.job.run_full_analysis` returns it
+        ordered by (year, category).
+        """
         return (self.networks.select(*GROUP, "num_nodes", "num_edges", "density")
                 .join(self.clustering, GROUP, "left")
                 .join(self.component_counts, GROUP, "left")
@@ -174,5 +179,4 @@ class Analysis:
                         "density",
                         F.coalesce("clustering", F.lit(0.0)).alias("clustering"),
                         F.col("num_components").cast("long").alias("components"),
-                        "is_connected")
-                .orderBy(*GROUP))
+                        "is_connected"))

@@ -186,7 +186,7 @@ def q_feed_network(spark, d):
 
 
 def q_scores_by_year(spark, d):
-    return main(spark, d).year_scores
+    return W.scores_by_year(main(spark, d).scores)
 
 
 def _q(fn: Callable[[Analysis], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

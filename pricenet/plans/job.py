@@ -17,8 +17,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricenet.operators import scoring as W
 from pricenet.plans.analysis import Analysis
 from pricenet.plans.report import render_markdown, save_results, summary_counts, top5_by_year
+from pricenet.session import GROUP
 from pricenet.sources.panel import read_observations
 
 log = logging.getLogger("pricenet")
@@ -47,8 +49,8 @@ def run_full_analysis(observations: DataFrame, cities: Sequence[str], tau: float
     step("networks", lambda: a.networks)
     step("centrality_scores", lambda: a.centrality if results["networks"] is not None else None)
     step("weighted_scores", lambda: a.scores if results["centrality_scores"] is not None else None)
-    step("final_rankings", lambda: a.year_scores if results["weighted_scores"] is not None else None)
-    step("network_evolution", lambda: a.evolution if results["networks"] is not None else None)
+    step("final_rankings", lambda: W.scores_by_year(a.scores) if results["weighted_scores"] is not None else None)
+    step("network_evolution", lambda: a.evolution.orderBy(*GROUP) if results["networks"] is not None else None)
     if output_dir:
         step("saved", lambda: save_results(results, output_dir))
     if all(results.get(k) is not None for k in ("networks", "centrality_scores", "network_evolution",

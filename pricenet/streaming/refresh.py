@@ -9,7 +9,7 @@ batch is handled in ``foreachBatch``:
    category present in the batch is recomputed over all its years;
 3. network, centrality and score tables are rewritten for those categories
    only (dynamic partition overwrite, partitioned by category);
-4. the yearly roll-up is rebuilt for the years those categories touch.
+4. the yearly roll-up is rebuilt for every year those categories cover.
 
 Categories absent from the batch keep their files untouched.  The set of
 touched categories never leaves the cluster: it is a semi-join key.
@@ -77,11 +77,13 @@ class Refresher:
         a = Analysis(obs, self.cities, tau=self.tau, category_weights=self.category_weights)
         self._write_by(a.scores, "weighted_scores", "category")
         self._write_by(a.evolution, "network_evolution", "category")
-        # Years touched by the batch need a new roll-up over every category.
+        # New history changes the z-scores of a touched category in every
+        # year, so every year of the recomputed networks gets a new roll-up
+        # (over all categories, touched or not).
         scores = _read_or_none(spark, f"{self.out}/weighted_scores")
         if scores is not None:
-            years = batch.select("year").distinct()
-            yearly = W.scores_by_year(scores.join(years, "year", "left_semi"))
+            years = a.networks.select("year").distinct()
+            yearly = W.scores_by_year(scores.join(years, "year", "left_semi"), sort=False)
             self._write_by(yearly, "final_rankings", "year")
 
     def start(self, spark: SparkSession, source_dir: str, checkpoint_location: str,
