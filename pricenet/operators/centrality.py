@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricenet.functions.quantiles import exact_median
 from pricenet.functions.validation import METRICS, check_metric
 from pricenet.session import GROUP
 
@@ -70,18 +71,20 @@ def _long_metrics(cent: DataFrame) -> DataFrame:
 def centrality_summary(cent: DataFrame) -> DataFrame:
     """Mean, median, sample std, min, max and zero count per metric.
 
-    Zeros are counted on raw values.  The median is the exact interpolated
-    one; its group is one metric over the centrality table (networks x
-    roster rows), whose size follows the analysis parameters, not the
-    observation volume.
+    Zeros are counted on raw values.  The moments are partial aggregates;
+    the median is exact (interpolated) and computed by distributed ranking,
+    so no metric's values are gathered into one task.
     """
-    return _long_metrics(cent).groupBy("metric").agg(
+    long = _long_metrics(cent)
+    moments = long.groupBy("metric").agg(
         F.avg("value").alias("mean"),
-        F.median("value").alias("median"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.count_if(F.col("value") == 0).alias("zeros"))
+    med = exact_median(long, "metric", "value")
+    return moments.join(med, "metric", "left").select(
+        "metric", "mean", "median", "std", "min", "max", "zeros")
 
 
 def top_per_metric(cent: DataFrame, k: int = 3) -> DataFrame:

@@ -101,3 +101,20 @@ def test_minmax_top_and_summary(spark):
 def test_constant_network_minmax_half(spark):
     cent = _table(spark, {(2023, "Cat1"): K5}, 5)
     assert {r.d_i_norm for r in C.minmax_normalize(cent).collect()} == {0.5}
+
+
+def test_exact_median_matches_pandas(spark):
+    import random
+
+    import pandas as pd
+
+    from pricenet.functions.quantiles import exact_median
+    rnd = random.Random(5)
+    rows = [("a", float(rnd.randint(0, 50))) for _ in range(1001)]
+    rows += [("b", rnd.random()) for _ in range(998)] + [("c", 3.0)] + [("d", 1.0), ("d", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.median for r in exact_median(df, "k", "v", partitions=7).collect()}
+    exp = pd.DataFrame(rows, columns=["k", "v"]).groupby("k")["v"].median().to_dict()
+    assert got.keys() == exp.keys()
+    for k in exp:
+        assert got[k] == pytest.approx(exp[k], abs=1e-12)
