@@ -75,6 +75,7 @@ class Refresher:
         obs = zscore(prices).select("city", "year", "category", "month_year",
                                     "item_description", "normalized_price")
         a = Analysis(obs, self.cities, tau=self.tau, category_weights=self.category_weights)
+        self._write_by(a.metadata, "network_metadata", "category")
         self._write_by(a.scores, "weighted_scores", "category")
         self._write_by(a.evolution, "network_evolution", "category")
         # New history changes the z-scores of a touched category in every
