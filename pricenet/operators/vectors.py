@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricenet.functions.exprs import clip, feature_key
@@ -103,18 +103,23 @@ def cosine_pairs(rfeats: DataFrame) -> DataFrame:
     yields all dot products; its diagonal (u = v) holds the squared norms,
     so the feature stream is shuffled once.  Dot products are partially
     aggregated in the join stage (one row per slice, pair and task leaves
-    it); the norms are then joined to the aggregated pairs — at most
+    it); the norms are then attached to the aggregated pairs — at most
     roster^2 / 2 per slice — never to the feature stream.
     """
     a = rfeats.select(*GROUP, "feature", F.col("city").alias("u"), F.col("value").alias("a"))
     b = rfeats.select(*GROUP, "feature", F.col("city").alias("v"), F.col("value").alias("b"))
     dots = (a.join(b, GROUP + ["feature"]).where(F.col("u") <= F.col("v"))
             .groupBy(*GROUP, "u", "v").agg(F.sum(F.col("a") * F.col("b")).alias("dot")))
-    diag = dots.where(F.col("u") == F.col("v"))
-    nu = diag.select(*GROUP, "u", F.sqrt("dot").alias("nu"))
-    nv = diag.select(*GROUP, F.col("v"), F.sqrt("dot").alias("nv"))
+    # Each row takes |u|^2 from the diagonal row (u, u) of its u-window and
+    # |v|^2 from (v, v) of its v-window; a window holds one city's pairs
+    # (<= roster rows), and the pair table is computed once.
+    diag = F.max(F.when(F.col("u") == F.col("v"), F.col("dot")))
+    normed = dots.withColumns({
+        "nu": F.sqrt(diag.over(Window.partitionBy(*GROUP, "u"))),
+        "nv": F.sqrt(diag.over(Window.partitionBy(*GROUP, "v"))),
+    })
     sim = F.col("dot") / (F.col("nu") * F.col("nv"))
-    return (dots.where(F.col("u") < F.col("v")).join(nu, GROUP + ["u"]).join(nv, GROUP + ["v"])
+    return (normed.where(F.col("u") < F.col("v"))
             .select(*GROUP, "u", "v", clip(sim, -1.0, 1.0).alias("sim")))
 
 
