@@ -11,7 +11,8 @@ Two exact executions of the same iteration:
   network (``applyInPandas``), a sparse NumPy mat-vec per round — up to a
   thousand rounds without a Spark job each;
 * larger networks: the same rounds as DataFrame joins and aggregations,
-  checkpointed each round, so no single task ever holds such a network.
+  written to the checkpoint folder each round, so no single task ever
+  holds such a network.
 
 The split is decided from the measured edge count of each network.
 """

@@ -6,8 +6,8 @@ Breadth-first search runs from every node of every network at once, one
 DataFrame round per hop.  In an undirected graph a node first reached at
 hop L+1 from the hop-L frontier can only have been seen at hops L-1 or L,
 so the anti-join touches two levels, not the whole history.  Each level is
-checkpointed to the reliable checkpoint folder: a lost executor recomputes
-one round, not the whole search.
+written to the shared checkpoint folder: a lost executor recomputes one
+round, not the whole search.
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@
 threshold networks -> paths -> centralities -> scores.  Each table is built
 on first use and shared by everything downstream, so a run is one plan over
 all (year, category) networks, not a loop over slices.  Tables reused by
-several consumers are persisted; iterative stages checkpoint their rounds.
+several consumers are written once to the checkpoint folder; iterative
+stages write every round there.
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@ Every query reads the driver tables (through the fixture panel) and runs
 over the whole tables.  Double columns are rounded to 6 decimals for the
 cross-engine check (the library functions themselves never round).
 Analyses are cached per (session, directory, parameters) so the queries of
-one run share persisted tables instead of rebuilding them.
+one run share materialised tables instead of rebuilding them.
 """
 
 from __future__ import annotations

@@ -140,3 +140,12 @@ def test_rollup_rankings_compare(spark):
     assert "score_score_equal" in cmp.columns and "rank_score_entropy" in cmp.columns
     for r in cmp.collect():
         assert any(getattr(r, f"rank_{s}") is not None for s in W.SCHEME_COLS)
+
+
+def test_scheme_weights_sum_to_one(spark):
+    cent = _panel(spark, seed=11)
+    wc = W._corr_weights(W.metric_correlations(cent)).collect()
+    we = W._entropy_weights(W.metric_entropy(cent)).collect()
+    for r in wc + we:
+        vals = [v for k, v in r.asDict().items() if k.startswith(("wc_", "we_"))]
+        assert len(vals) == 4 and sum(vals) == pytest.approx(1.0) and all(v > 0 for v in vals)
