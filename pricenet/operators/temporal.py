@@ -29,6 +29,8 @@ def edge_subset(e1: DataFrame, e2: DataFrame, key_cols: Sequence[str] = ("year",
     a = e1.select(*k, "u", "v").distinct()
     b = e2.select(*k, "u", "v").distinct()
     missing = a.join(b, k + ["u", "v"], "left_anti").groupBy(*k).agg(F.count("*").alias("_missing"))
+    if not k:  # two whole edge sets: one row
+        return missing.select((F.col("_missing") == 0).alias("is_subset"))
     keys = a.select(*k).unionByName(b.select(*k)).distinct()
     return (keys.join(missing, k, "left")
             .select(*k, F.col("_missing").isNull().alias("is_subset")))
@@ -69,13 +71,18 @@ def hasse_edges(reduced: DataFrame, key_cols: Sequence[str] = ("category",)) ->
     k = _keys(key_cols)
     n_times = reduced.where(F.col("t_from") == F.col("t_to")).groupBy(*k).agg(
         F.count("*").alias("num_years"))
-    return (reduced.where(F.col("t_from") != F.col("t_to")).join(n_times, k, "left")
-            .select(*k, "t_from", "t_to", "num_years"))
+    links = reduced.where(F.col("t_from") != F.col("t_to"))
+    if not k:  # one global order: the count is a scalar subquery
+        return links.select("t_from", "t_to", n_times.scalar().alias("num_years"))
+    return links.join(n_times, k, "left").select(*k, "t_from", "t_to", "num_years")
 
 
 def partial_order_check(edges: DataFrame, rel: DataFrame, key_cols: Sequence[str] = ("category",),
                         time_col: str = "year") -> DataFrame:
-    """Reflexive / antisymmetric / transitive flags per key (True if empty).
+    """Reflexive / antisymmetric / transitive flags per key.
+
+    With no key columns the whole collection is one order and the result is
+    one row (all True for an empty collection).
 
     Antisymmetry compares canonical edge sets, so mutual containment always
     means equality; it is still evaluated on the data.
@@ -100,6 +107,15 @@ def partial_order_check(edges: DataFrame, rel: DataFrame, key_cols: Sequence[str
     ik = rel.select(*k, F.col("t_from").alias("i"), F.col("t_to").alias("kk"))
     trans = (ij.join(jk, k + ["j"]).select(*k, "i", "kk").distinct()
              .join(ik, k + ["i", "kk"], "left_anti").groupBy(*k).agg(F.count("*").alias("_nt")))
+    if not k:
+        # One global order: global aggregates always give one row, so an
+        # empty collection reports True for every property.
+        r = refl.agg(F.coalesce(F.sum("_nr"), F.lit(0)).alias("_nr"))
+        out = r.select((F.col("_nr") == 0).alias("reflexive"),
+                       (anti.agg(F.coalesce(F.sum("_na"), F.lit(0))).scalar() == 0).alias("antisymmetric"),
+                       (trans.agg(F.coalesce(F.sum("_nt"), F.lit(0))).scalar() == 0).alias("transitive"))
+        return out.withColumn("is_partial_order",
+                              F.col("reflexive") & F.col("antisymmetric") & F.col("transitive"))
     out = (times.select(*k).distinct().join(refl, k, "left").join(anti, k, "left").join(trans, k, "left"))
     r = F.col("_nr").isNull()
     a = F.col("_na").isNull()

@@ -58,3 +58,24 @@ def test_density_by_year(spark):
                                 "year int, category string, density double")
     got = {r.year: r.mean_density for r in T.density_by_year(evo).collect()}
     assert got == {2021: .3, 2022: .30000000000000004} or abs(got[2022] - 0.3) < 1e-12
+
+
+def test_partial_order_global_and_empty(spark):
+    e = _edges(spark, CHAIN).drop("category")
+    rel = T.containment_relation(e, [], "year")
+    r = T.partial_order_check(e, rel, [], "year").collect()
+    assert len(r) == 1 and r[0].is_partial_order
+    empty = e.where("false")
+    r = T.partial_order_check(empty, T.containment_relation(empty, [], "year"), [], "year").collect()
+    assert len(r) == 1 and r[0].reflexive and r[0].antisymmetric and r[0].transitive
+
+
+def test_global_subset_and_hasse(spark):
+    e = _edges(spark, CHAIN).drop("category")
+    small = e.where("year = 2021").drop("year")
+    big = e.where("year = 2023").drop("year")
+    assert T.edge_subset(small, big, []).first().is_subset is True
+    assert T.edge_subset(big, small, []).first().is_subset is False
+    red = T.containment_reduction(T.containment_relation(e, [], "year"), [])
+    h = T.hasse_edges(red, []).collect()
+    assert {(r.t_from, r.t_to) for r in h} == {(2021, 2022), (2022, 2023)} and {r.num_years for r in h} == {3}
