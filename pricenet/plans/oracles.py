@@ -166,20 +166,21 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT year, category, src, dst FROM adj
         UNION ALL SELECT year, category, city, city FROM nodes"""),
     "power": (["nodes", "adjself", "nr"], """
-        SELECT year, category, city, 0 AS it, 1.0 / (SELECT n FROM nr) AS x, NULL::DOUBLE AS xl FROM nodes
+        SELECT year, category, city, 0 AS it, 1.0 / (SELECT n FROM nr) AS x, NULL::DOUBLE AS xl,
+               false AS conv FROM nodes
         UNION ALL
-        SELECT year, category, city, it, y / sqrt(sum(y * y) OVER (PARTITION BY year, category)) AS x, xl
-        FROM (SELECT a.year, a.category, a.dst AS city, e.it + 1 AS it, sum(e.x) AS y,
-                     sum(CASE WHEN a.src = a.dst THEN e.x END) AS xl
-              FROM power e JOIN adjself a ON a.year = e.year AND a.category = e.category AND a.src = e.city
-              WHERE e.it < 1000
-              GROUP BY 1, 2, 3, 4)"""),
-    "ec": (["power", "nodes", "nr"], """
+        SELECT year, category, city, it, x, xl,
+               sum(abs(x - xl)) OVER (PARTITION BY year, category) < (SELECT n FROM nr) * 1e-6 AS conv
+        FROM (SELECT year, category, city, it, y / sqrt(sum(y * y) OVER (PARTITION BY year, category)) AS x, xl
+              FROM (SELECT a.year, a.category, a.dst AS city, e.it + 1 AS it, sum(e.x) AS y,
+                           sum(CASE WHEN a.src = a.dst THEN e.x END) AS xl
+                    FROM power e JOIN adjself a ON a.year = e.year AND a.category = e.category AND a.src = e.city
+                    WHERE e.it < 1000 AND NOT e.conv
+                    GROUP BY 1, 2, 3, 4))"""),
+    "ec": (["power", "nodes"], """
         SELECT n.year, n.category, n.city, coalesce(p.x, 0.0) AS e_i
         FROM nodes n
-        LEFT JOIN (SELECT year, category, min(it) AS it FROM (
-                      SELECT year, category, it FROM power WHERE it > 0 GROUP BY 1, 2, 3
-                      HAVING sum(abs(x - xl)) < (SELECT n FROM nr) * 1e-6) GROUP BY 1, 2) s
+        LEFT JOIN (SELECT year, category, min(it) AS it FROM power WHERE conv GROUP BY 1, 2) s
           ON s.year = n.year AND s.category = n.category
         LEFT JOIN power p ON p.year = n.year AND p.category = n.category AND p.city = n.city AND p.it = s.it"""),
     "cent": (["nodes", "dc", "cc", "bc", "ec"], """
