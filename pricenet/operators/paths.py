@@ -45,9 +45,9 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, max_hops: int | None = No
     bounds the loop for safety in tests.
     """
     adj = cut_lineage(adjacency(edges).withColumnRenamed("src", "t"))
-    level0 = cut_lineage(nodes.select(
+    level0 = nodes.select(
         *GROUP, F.col("city").alias("s"), F.col("city").alias("t"),
-        F.lit(0).alias("d"), F.lit(1.0).alias("sigma")))
+        F.lit(0).alias("d"), F.lit(1.0).alias("sigma"))
     levels = [level0]
     hop = 0
     while max_hops is None or hop < max_hops:
@@ -116,15 +116,14 @@ def betweenness(nodes: DataFrame, edges: DataFrame, sp: ShortestPaths, n: int) -
     child = None  # (g, s, w, coef) for the level below the current one
     for level in range(sp.max_distance, 0, -1):
         cur = sp.levels[level].select(*GROUP, "s", F.col("t").alias("v"), "sigma")
-        if child is None:
+        if child is None:  # deepest level: no successors, a projection of the level
             dl = cur.withColumn("delta", F.lit(0.0))
         else:
             contrib = (child.join(adj, GROUP + ["w"])
                        .groupBy(*GROUP, "s", "v").agg(F.sum("coef").alias("acc")))
-            dl = (cur.join(contrib, GROUP + ["s", "v"], "left")
-                  .withColumn("delta", F.col("sigma") * F.coalesce("acc", F.lit(0.0)))
-                  .drop("acc"))
-        dl = cut_lineage(dl)
+            dl = cut_lineage(cur.join(contrib, GROUP + ["s", "v"], "left")
+                             .withColumn("delta", F.col("sigma") * F.coalesce("acc", F.lit(0.0)))
+                             .drop("acc"))
         deltas.append(dl.select(*GROUP, "v", "delta"))
         child = dl.select(*GROUP, "s", F.col("v").alias("w"),
                           ((F.lit(1.0) + F.col("delta")) / F.col("sigma")).alias("coef"))

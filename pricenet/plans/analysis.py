@@ -63,7 +63,7 @@ class Analysis:
 
     @cached_property
     def groups(self) -> DataFrame:
-        return self._keep(V.slice_groups(self.features))
+        return V.slice_groups(self.features)
 
     @cached_property
     def roster_features(self) -> DataFrame:
