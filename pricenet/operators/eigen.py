@@ -77,7 +77,12 @@ def _grouped(nodes: DataFrame, edges: DataFrame, max_iter: int, tol: float) -> D
     adj = adjacency(edges)
     edge_part = adj.select(*GROUP, F.lit(None).cast("long").alias("node_id"),
                            F.lit(None).cast("string").alias("city"), "src", "dst")
-    return (node_part.unionByName(edge_part).groupBy(*GROUP)
+    # Up to a thousand rounds per network make this stage CPU-bound for its
+    # size: hash-partition by network with the configured partition count
+    # (a count-based repartition is not merged by size-based coalescing) so
+    # networks spread over tasks; the grouping reuses this partitioning.
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (node_part.unionByName(edge_part).repartition(parts, *GROUP).groupBy(*GROUP)
             .applyInPandas(_grouped_kernel(max_iter, tol), schema=_OUT_SCHEMA))
 
 
