@@ -81,12 +81,28 @@ class Refresher:
         # New history changes the z-scores of a touched category in every
         # year, so every year of the recomputed networks gets a new roll-up
         # (over all categories, touched or not).
-        scores = _read_or_none(spark, f"{self.out}/weighted_scores")
+        scores = self.current_scores(spark)
         if scores is not None:
             years = a.networks.select("year").distinct()
             yearly = W.scores_by_year(scores.join(years, "year", "left_semi"), sort=False)
             self._write_by(yearly, "final_rankings", "year")
 
+    def current_scores(self, spark: SparkSession) -> DataFrame | None:
+        """Scores of networks that currently have edges.
+
+        Dynamic partition overwrite cannot empty a partition: if every
+        network of a touched category lost its edges, that category's old
+        score files stay.  The metadata table is rewritten for every touched
+        category (zero-edge networks included), so a semi-join on networks
+        with edges leaves exactly the current scores.
+        """
+        scores = _read_or_none(spark, f"{self.out}/weighted_scores")
+        meta = _read_or_none(spark, f"{self.out}/network_metadata")
+        if scores is None or meta is None:
+            return scores
+        live = meta.where(F.col("num_edges") > 0).select("year", "category")
+        return scores.join(live, ["year", "category"], "left_semi")
+
     def start(self, spark: SparkSession, source_dir: str, checkpoint_location: str,
               available_now: bool = True, fmt: str = "parquet") -> StreamingQuery:
         stream = spark.readStream.schema(PRICE_SCHEMA).format(fmt)

@@ -28,7 +28,8 @@ def test_refresh_matches_full_recompute(spark, tmpdir_path):
     second.write.mode("append").parquet(src)
     r.start(spark, src, ck).awaitTermination()
 
-    got = spark.read.parquet(os.path.join(out, "weighted_scores"))
+    got = r.current_scores(spark)
+    assert got.count() == spark.read.parquet(os.path.join(out, "weighted_scores")).count()
     full = Analysis(panel.zscore(raw), roster, tau=0.2).scores
     key = ["year", "category", "city"]
     a = {tuple(x[k] for k in key): round(x.score_equal, 9) for x in got.collect()}
