@@ -68,22 +68,36 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, max_hops: int | None = No
     return ShortestPaths(levels)
 
 
-def closeness(nodes: DataFrame, sp: ShortestPaths, n: int) -> DataFrame:
+def path_summary(sp: ShortestPaths) -> DataFrame:
+    """One pass over all-pairs paths: per source node, the number of other
+    nodes reached, their distance sum, its eccentricity and a component
+    label (the smallest node name it reaches, itself included).
+
+    Closeness, components and path metrics all derive from this table, so
+    the all-pairs table — the largest of the graph stage — is scanned once.
+    """
+    return sp.table.groupBy(*GROUP, F.col("s").alias("city")).agg(
+        F.count_if(F.col("d") > 0).alias("reached"),
+        F.sum("d").alias("dist_sum"),
+        F.max("d").alias("eccentricity"),
+        F.min("t").alias("component"))
+
+
+def closeness_from_summary(summary: DataFrame, n: int) -> DataFrame:
     """C = (r / sum d) * (r / (n - 1)), r = other nodes reachable; else 0."""
-    far = sp.table.where(F.col("d") > 0).groupBy(*GROUP, F.col("s").alias("city")).agg(
-        F.count("*").alias("r"), F.sum("d").alias("tot"))
-    c = (F.col("r") / F.col("tot")) * (F.col("r") / F.lit(float(n - 1))) if n > 1 else F.lit(0.0)
-    c = F.when(F.col("tot") > 0, c).otherwise(F.lit(0.0))
-    return (nodes.join(far, GROUP + ["city"], "left")
-            .select(*GROUP, "city", F.coalesce(c, F.lit(0.0)).alias("c_i")))
+    r, tot = F.col("reached"), F.col("dist_sum")
+    c = (r / tot) * (r / F.lit(float(n - 1))) if n > 1 else F.lit(0.0)
+    return summary.select(*GROUP, "city", F.when(tot > 0, c).otherwise(F.lit(0.0)).alias("c_i"))
+
+
+def closeness(nodes: DataFrame, sp: ShortestPaths, n: int) -> DataFrame:
+    """C2 for every node (every node has its distance-0 row, so none is missing)."""
+    return closeness_from_summary(path_summary(sp), n)
 
 
 def components(nodes: DataFrame, sp: ShortestPaths) -> DataFrame:
-    """Component label per node = smallest roster index reachable."""
-    ids = nodes.select(*GROUP, F.col("city").alias("t"), "node_id")
-    lab = (sp.table.join(ids, GROUP + ["t"])
-           .groupBy(*GROUP, F.col("s").alias("city")).agg(F.min("node_id").alias("component")))
-    return nodes.join(lab, GROUP + ["city"], "left")
+    """Component label per node (smallest node name reachable)."""
+    return nodes.join(path_summary(sp).select(*GROUP, "city", "component"), GROUP + ["city"], "left")
 
 
 def component_counts(comp: DataFrame) -> DataFrame:
@@ -92,10 +106,14 @@ def component_counts(comp: DataFrame) -> DataFrame:
         "is_connected", F.col("num_components") == 1)
 
 
-def path_metrics(sp: ShortestPaths, counts: DataFrame, n: int) -> DataFrame:
-    """Diameter and mean shortest path, only for connected networks, n > 1."""
-    agg = sp.table.where(F.col("d") > 0).groupBy(*GROUP).agg(
-        F.max("d").alias("_diam"), F.avg("d").alias("_apl"))
+def path_metrics_from_summary(summary: DataFrame, counts: DataFrame, n: int) -> DataFrame:
+    """Diameter and mean shortest path, only for connected networks, n > 1.
+
+    The mean over ordered pairs s != t is sum(dist_sum) / sum(reached).
+    """
+    agg = summary.groupBy(*GROUP).agg(
+        F.max("eccentricity").alias("_diam"),
+        (F.sum("dist_sum") / F.sum("reached")).alias("_apl"))
     ok = F.col("is_connected") & F.lit(n > 1)
     return counts.join(agg, GROUP, "left").select(
         *GROUP, "num_components", "is_connected",
@@ -103,6 +121,10 @@ def path_metrics(sp: ShortestPaths, counts: DataFrame, n: int) -> DataFrame:
         F.when(ok, F.col("_apl")).alias("avg_path_length"))
 
 
+def path_metrics(sp: ShortestPaths, counts: DataFrame, n: int) -> DataFrame:
+    return path_metrics_from_summary(path_summary(sp), counts, n)
+
+
 def betweenness(nodes: DataFrame, edges: DataFrame, sp: ShortestPaths, n: int) -> DataFrame:
     """Normalised betweenness by Brandes' dependency accumulation.
 

@@ -117,17 +117,22 @@ class Analysis:
     def paths(self) -> P.ShortestPaths:
         return P.shortest_paths(self.nodes, self.edges)
 
+    @cached_property
+    def path_summary(self) -> DataFrame:
+        """Per-node reach / distance / component summary (one pass over paths)."""
+        return self._keep(P.path_summary(self.paths))
+
     @cached_property
     def components(self) -> DataFrame:
-        return P.components(self.nodes, self.paths)
+        return self.nodes.join(self.path_summary.select(*GROUP, "city", "component"), GROUP + ["city"], "left")
 
     @cached_property
     def component_counts(self) -> DataFrame:
-        return P.component_counts(self.components)
+        return P.component_counts(self.path_summary)
 
     @cached_property
     def path_metrics(self) -> DataFrame:
-        return P.path_metrics(self.paths, self.component_counts, self.n)
+        return P.path_metrics_from_summary(self.path_summary, self.component_counts, self.n)
 
     # ------------------------------------------------------------ centrality
     @cached_property
@@ -136,7 +141,7 @@ class Analysis:
 
     @cached_property
     def closeness(self) -> DataFrame:
-        return P.closeness(self.nodes, self.paths, self.n)
+        return P.closeness_from_summary(self.path_summary, self.n)
 
     @cached_property
     def betweenness(self) -> DataFrame:
