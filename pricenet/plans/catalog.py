@@ -259,6 +259,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "density_by_year": _q(lambda a: TT.density_by_year(a.evolution)),
     # feeds and report
     "feed_network": q_feed_network,
+    "feed_network_edges": lambda s, d: G.network_feed(ctx(s, d).analysis(weighted=True).degrees,
+                                                      ctx(s, d).analysis(weighted=True).edges)[1],
     "feed_radar": _q(lambda a: G.radar_feed(a.centrality, RADAR_CITY, RADAR_YEAR)),
     "feed_top_by_scheme": _q(lambda a: G.top_by_scheme_feed(a.year_scores, 5)),
     "feed_metric_series": _q(lambda a: G.metric_series_feed(a.evolution, SERIES_CATEGORY, "density")),

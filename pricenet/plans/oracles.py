@@ -492,6 +492,7 @@ ORACLES: dict[str, str] = {
                                f"{_r('clustering', 'clustering')}, components, is_connected FROM evo", ["evo"]),
     "density_by_year": build(f"SELECT year, {_r('avg(density)', 'mean_density')} FROM evo GROUP BY 1", ["evo"]),
     "feed_network": build("SELECT year, category, city, degree, degree * 100 + 100 AS node_size FROM deg", ["deg"]),
+    "feed_network_edges": build(f"SELECT year, category, u, v, {_r('sim', 'width')} FROM edges", ["edges"]),
     "feed_radar": build(f"""
         SELECT year, category, city, metric, {_r('value', 'value')}
         FROM (UNPIVOT (SELECT * FROM cent WHERE city = '{Q.RADAR_CITY}' AND year = {Q.RADAR_YEAR})
