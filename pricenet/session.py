@@ -40,14 +40,19 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+# Local-mode fallback folders of sessions without a SparkContext handle.
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if none is named.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    wins, then a folder already set on the context.  Only a local-mode
-    session without any setting (tests, laptops) gets a private temporary
-    folder — a machine-local folder is useless on a cluster, so there we
-    refuse instead of guessing.
+    The cluster names a shared folder in ``spark.checkpoint.dir`` (a static
+    setting, read here, never written); that value wins, then a folder
+    already set on the context.  Only a local-mode session without any
+    setting (tests, laptops) gets a private temporary folder — a
+    machine-local folder is useless on a cluster, so there we refuse
+    instead of guessing.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -64,15 +69,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return current
         master = sc.master
     else:
+        if id(spark) in _LOCAL_DIRS:
+            return _LOCAL_DIRS[id(spark)]
         master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative graph steps need a "
             "shared checkpoint folder on a cluster")
     local_dir = tempfile.mkdtemp(prefix="pricenet-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local_dir)
     if sc is not None:
         sc.setCheckpointDir(local_dir)
+        return sc.getCheckpointDir() or local_dir
+    _LOCAL_DIRS[id(spark)] = local_dir
     return local_dir
 
 
