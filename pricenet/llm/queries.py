@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, mixing, token_count
+from . import bpe, chat, fingerprint, licenses, mixing, quality, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -22,16 +26,26 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_license_scan, op4_source_mix, op8_token_counts, op10_bpe)}
+    f.__name__: f for f in (
+        op1_compression_quality, op2_license_scan, op4_source_mix, op5_chat_format, op8_token_counts,
+        op9_fingerprints, op10_bpe)}
 
 ORACLES: dict[str, str] = {}
 
@@ -69,3 +83,21 @@ SELECT doc_id, size, source_size, target,
        CAST(greatest(0, least(size, round(target - whole_reps * source_size) - earlier)) AS BIGINT) AS extra_words,
        source
 FROM placed"""
+
+# Chats: prefixes as whole strings instead of hashes.
+ORACLES["op5_chat_format"] = r"""
+WITH own AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+placed AS (
+  SELECT conv_id, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) AS pos,
+         count(*) OVER (PARTITION BY conv_id) AS n
+  FROM own),
+grown AS (
+  SELECT conv_id, pos, n,
+         string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), '')
+           OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS text
+  FROM placed),
+whole AS (SELECT text, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM grown WHERE pos = n GROUP BY text, n),
+shorter AS (SELECT DISTINCT text, pos FROM grown WHERE pos < n)
+SELECT w.conv_id, w.n AS n_turns, w.n_copies, CAST(length(w.text) AS BIGINT) AS n_chars, w.text
+FROM whole w LEFT JOIN shorter s ON s.text = w.text AND s.pos = w.n WHERE s.pos IS NULL"""
