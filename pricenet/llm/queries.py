@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprint, licenses, mixing, quality, token_count
+from . import bpe, chat, fingerprint, licenses, minhash_forest, mixing, quality, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_compression_quality, op2_license_scan, op4_source_mix, op5_chat_format, op8_token_counts,
+        op1_compression_quality, op2_license_scan, op3_minhash_forest, op4_source_mix, op5_chat_format, op8_token_counts,
         op9_fingerprints, op10_bpe)}
 
 ORACLES: dict[str, str] = {}
