@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embed_dedup, fingerprint, licenses, minhash_forest, mixing, quality, token_count
+from . import bpe, chat, embed_dedup, fingerprint, html_extract, licenses, minhash_forest, mixing, quality, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op6_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -52,8 +56,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_compression_quality, op2_license_scan, op3_minhash_forest, op4_source_mix, op5_chat_format, op6_embedding_tiles, op8_token_counts,
-        op9_fingerprints, op10_bpe)}
+        op1_compression_quality, op2_license_scan, op3_minhash_forest, op4_source_mix, op5_chat_format, op6_embedding_tiles,
+        op7_main_text, op8_token_counts, op9_fingerprints, op10_bpe)}
 
 ORACLES: dict[str, str] = {}
 
