@@ -11,12 +11,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricenet.llm import bpe, mixing
+from pricenet.llm import bpe, minhash_forest, mixing, quality
 from pricenet.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that the compression classifier accepts (operator 1)."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates: five words, similarity 0.8 (operator 3)."""
+    return minhash_forest.keep_one(docs)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or drop documents so that sources come near their target weights (operator 4)."""
     return mixing.mixed_documents(docs)
@@ -28,6 +38,8 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
+    ("near_dedup", dedup_stage),
     ("mixing", mix_stage),
     ("bpe_encoding", encode_stage),
 ]
