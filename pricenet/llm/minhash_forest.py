@@ -11,9 +11,10 @@ Candidates whose sizes or signatures rule the similarity out are dropped, the
 rest is confirmed on the full sets, and links are joined to components.
 Larger regions (and those cut by a partition's edge) are then finished
 exactly: members outside the component that holds most of the region are
-compared with all members of other components.  So within a region every two
-nodes have been compared or were already connected, whatever its size, and a
-region of thousands of near copies costs a few comparisons a member.
+compared with all its members, block by block.  A block pair is one matrix
+product over the shingles that occur twice in it, and returns a spanning set
+of its links, never the pairs.  So within a region every two nodes have been
+compared or were already connected, whatever its size.
 
 The number of trees follows from the similarity: a pair at the threshold shares
 no region with a probability of at most ``MISS``.
@@ -40,6 +41,9 @@ DEPTH = 4
 MISS = 2e-6
 # Members of a region that are all compared at once.
 SMALL = 8
+# Members of a block of a larger region, and shingles of a matrix product at a time.
+BLOCK = 256
+COLUMNS = 8192
 # Standard deviations by which a signature may fall short of the threshold.
 DEVIATIONS = 5.0
 # Words whose hashes a worker holds, and shingles that are hashed at a time.
@@ -250,38 +254,111 @@ def _confirmed(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Itera
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs that are links.  Each node's text is that of its smallest id."""
-    pairs = cut_lineage(pairs)
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = cut_lineage(ends.join(nodes.select("node", "id"), "node"))
-    found = docs.join(wanted.select("id").distinct(), "id").select("text").mapInArrow(
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(node, text) of the wanted nodes, written; a node's text is that of its smallest id."""
+    known = cut_lineage(wanted.distinct().join(nodes.select("node", "id"), "node"))
+    found = docs.join(known.select("id").distinct(), "id").select("text").mapInArrow(
         partial(_digested, k=k), "node binary, text binary")
     # An id that repeats with other texts brings nodes nobody asked for; a repeated row, one twice.
-    texts = cut_lineage(found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+    return cut_lineage(found.join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs that are links on their full sets."""
+    pairs = cut_lineage(pairs)
+    texts = texts_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))),
+                     nodes, docs, k)
     joined = (pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "x", "y"))
     return cut_lineage(joined.mapInArrow(partial(_confirmed, k=k, percent=percent), "a binary, b binary"))
 
 
-def across(regions: DataFrame, planted: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs of different components in regions that the sort did not finish.
+def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Shared shingles of every set of ``x`` with every set of ``y``: products of 0/1 matrices.
 
-    Members outside the component with most members meet all others; two members
-    of the same component never do.
+    Only shingles that occur in two of the sets have a column; sums below 2^24
+    are exact in single precision.
+    """
+    sets = [*x, *y]
+    every = np.concatenate(sets)
+    names, at, times = np.unique(every, return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    keep = times[at] > 1
+    rows, columns = rows[keep], column[at[keep]]
+    total = np.zeros((len(x), len(y)), dtype=np.float32)
+    for start in range(0, int((times > 1).sum()), COLUMNS):
+        here = (columns >= start) & (columns < start + COLUMNS)
+        m = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        m[rows[here], columns[here] - start] = 1
+        total += m[:len(x)] @ m[len(x):].T
+    return total.astype(np.int64)
+
+
+def roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Smallest index that links (i, j) reach from each of ``n`` nodes."""
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new
+
+
+def _tile(k: int, percent: int):
+    """(node, root) of the links between two blocks of a region, or within one."""
+    def run(table: pa.Table) -> pa.Table:
+        t = table.sort_by("node")
+        own = np.array(t["block"].to_pylist()) == t["a"][0].as_py()
+        nodes = t["node"].to_pylist()
+        sets = Shingler(k).sets(t["text"].to_pylist())
+        left = np.flatnonzero(own)
+        right = left if t["a"][0].as_py() == t["b"][0].as_py() else np.flatnonzero(~own)
+        shared = overlaps([sets[q] for q in left], [sets[q] for q in right]) if len(left) and len(right) else np.zeros((0, 0))
+        size = np.array([len(s) for s in sets], dtype=np.int64)
+        if shared.size:
+            i, j = np.nonzero(100 * shared >= percent * (size[left][:, None] + size[right][None, :] - shared))
+            root = roots(left[i], right[j], len(nodes))
+        else:
+            root = np.arange(len(nodes))
+        moved = np.flatnonzero(root != np.arange(len(nodes)))
+        return pa.table({"a": pa.array([nodes[q] for q in moved], pa.binary()),
+                         "b": pa.array([nodes[q] for q in root[moved]], pa.binary())})
+    return run
+
+
+def finished(regions: DataFrame, planted: DataFrame, components: DataFrame, nodes: DataFrame, docs: DataFrame,
+             k: int, percent: int) -> DataFrame:
+    """Links that connect all that is linked within the regions the sort did not finish.
+
+    In each region with several components, members outside the component with
+    most members (its blocks come first) meet all members; two members of that
+    component do not meet again.
     """
     key = ["tree", "region"]
     members = cut_lineage(planted.select(*key, "node").join(regions, key)
                           .join(components.withColumnRenamed("component", "known"), "node", "left")
                           .select(*key, "node", F.coalesce("known", "node").alias("component")))
     shares = members.groupBy(*key, "component").agg(F.count(F.lit(1)).alias("held"))
-    mixed = cut_lineage(shares.groupBy(*key).agg(F.max_by("component", F.struct("held", "component")).alias("main"),
-                                                 F.count(F.lit(1)).alias("components"))
-                        .where("components > 1").select(*key, "main"))
-    marked = cut_lineage(members.join(mixed, key))
-    left = marked.where("component != main").select(*key, F.col("node").alias("p"), F.col("component").alias("cp"))
-    right = marked.select(*key, F.col("node").alias("q"), F.col("component").alias("cq"), "main")
-    met = left.join(right, key).where((F.col("cp") != F.col("cq")) & ((F.col("cq") == F.col("main")) | (F.col("p") < F.col("q"))))
-    return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    mixed = cut_lineage(
+        shares.groupBy(*key).agg(F.max(F.struct("held", "component")).alias("most"), F.sum("held").alias("all"),
+                                 F.count(F.lit(1)).alias("components"))
+        .where("components > 1")
+        .select(*key, F.col("most.component").alias("main"), blocks(F.col("all") - F.col("most.held")).alias("others"),
+                blocks(F.col("most.held")).alias("mains")))
+    marked = cut_lineage(members.join(mixed, key).withColumn("is_main", F.col("component") == F.col("main")))
+    place = F.xxhash64("node", "tree")
+    dealt = (marked.withColumn("block", F.when(F.col("is_main"), F.col("others") + F.pmod(place, "mains"))
+                               .otherwise(F.pmod(place, "others")).cast("int"))
+             .withColumn("with", F.explode(F.sequence(
+                 F.lit(0), F.col("others") - 1 + F.when(F.col("is_main"), 0).otherwise(F.col("mains")))))
+             .select(*key, F.least("block", "with").alias("a"), F.greatest("block", "with").alias("b"), "block", "node"))
+    texts = texts_of(marked.select("node"), nodes, docs, k)
+    return cut_lineage(dealt.join(texts, "node").groupBy(*key, "a", "b")
+                       .applyInArrow(_tile(k, percent), "a binary, b binary").distinct())
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -311,7 +388,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
                       nodes, texts, k, percent)
     components = cut_lineage(connected_components(links))
     regions = found.where("a is null").select("tree", "region").distinct()
-    more = confirmed(likely(across(regions, planted, components), nodes, percent), nodes, texts, k, percent)
+    more = finished(regions, planted, components, nodes, texts, k, percent)
     if more.limit(1).count():
         components = cut_lineage(connected_components(links.unionByName(more)))
 

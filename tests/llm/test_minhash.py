@@ -92,12 +92,24 @@ def test_families_near_the_threshold(spark, k, percent):
 def test_large_regions_are_finished(spark, monkeypatch):
     """With regions of two compared at once, the exact step has to find the rest."""
     monkeypatch.setattr(M, "SMALL", 2)
+    monkeypatch.setattr(M, "BLOCK", 20)
+    monkeypatch.setattr(M, "COLUMNS", 64)
     rng = random.Random(11)
     base = [f"w{i}" for i in range(60)]
-    rows = [(i, t) for i, t in enumerate(family(rng, base, 150, 3))]
+    # Few, some and many edits: linked to most, to the least edited ones, to none.
+    rows = [(i, t) for i, t in enumerate(family(rng, base, 150, 3) + family(rng, base, 80, 9))]
     check(M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85), brute(rows, 3, 85))
 
 
+def test_block_products():
+    rng = random.Random(2)
+    sets = [M.np.unique(M.np.array([rng.randrange(400) for _ in range(rng.randrange(1, 90))], dtype=M.np.uint64)) for _ in range(40)]
+    got = M.overlaps(sets[:15], sets[15:])
+    assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[15:]] for a in sets[:15]]
+    chain = M.np.arange(99)
+    assert not M.roots(chain + 1, chain, 100).any()
+
+
 def test_awkward_rows(spark):
     docs = awkward_docs(spark)
     rows = M.near_duplicates(docs, 3, 85).collect()
