@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pricenet.operators import scoring as W  # noqa: E402
 from pricenet.operators import vectors as V  # noqa: E402
 from pricenet.plans import catalog  # noqa: E402
-from pricenet.session import get_session  # noqa: E402
+from pricenet.session import drop_run_tables, get_session  # noqa: E402
 
 
 def run(df) -> None:
@@ -38,12 +38,15 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
+    # Start the JVM's machinery on another input first: no stage pays for it.
+    run(spark.read.parquet(f"{sf_dir}/nation.parquet").groupBy("n_regionkey").count())
     ctx = timed("panel", lambda: catalog.ctx(spark, sf_dir))
     a = ctx.analysis(tau=catalog.TAU)
     timed("cosine_pairs", lambda: run(a.pairs))
     timed("threshold_networks", lambda: (run(a.networks), run(a.edges)))
     timed("shortest_paths", lambda: a.paths)
-    timed("closeness_components", lambda: (run(a.closeness), run(a.path_metrics)))
+    timed("components", lambda: run(a.component_counts))
+    timed("closeness_path_metrics", lambda: (run(a.closeness), run(a.path_metrics)))
     timed("betweenness_centrality", lambda: run(a.betweenness))
     timed("eigenvector_centrality", lambda: run(a.eigenvector))
     timed("centrality_all", lambda: run(a.centrality))
@@ -61,6 +64,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
     }))
+    drop_run_tables(spark)
     spark.stop()
 
 

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from pricenet.functions.quantiles import exact_median
 from pricenet.functions.validation import METRICS, check_metric
-from pricenet.session import GROUP
+from pricenet.session import GROUP, cut_lineage
 
 METRIC_COLS = [m.lower() for m in METRICS]
+# Values equal to 9 decimals are ties: float noise must not reorder.
+RANK_DIGITS = 9
 
 
 def degree_centrality(degrees: DataFrame, n: int) -> DataFrame:
@@ -38,22 +40,23 @@ def centrality_table(nodes: DataFrame, deg: DataFrame, clo: DataFrame, btw: Data
 def minmax_normalize(cent: DataFrame) -> DataFrame:
     """Per-network min-max scaling of each metric, constant network -> 0.5.
 
-    The window partition is one network (bounded by the roster size).
+    The extremes are one aggregated row per network, joined back.
     """
-    w = Window.partitionBy(*GROUP)
+    ends = cut_lineage(cent.groupBy(*GROUP).agg(
+        *[F.min(m).alias(f"_lo_{m}") for m in METRIC_COLS], *[F.max(m).alias(f"_hi_{m}") for m in METRIC_COLS]))
     cols = {}
     for m in METRIC_COLS:
-        lo, hi = F.min(m).over(w), F.max(m).over(w)
+        lo, hi = F.col(f"_lo_{m}"), F.col(f"_hi_{m}")
         cols[f"{m}_norm"] = F.when(hi == lo, F.lit(0.5)).otherwise((F.col(m) - lo) / (hi - lo))
-    return cent.withColumns(cols)
+    return cent.join(ends, GROUP).withColumns(cols).drop(*[c for c in ends.columns if c not in GROUP])
 
 
 def top_cities(cent: DataFrame, metric: str, n: int = 10, year: int | None = None,
                category: str | None = None) -> DataFrame:
     """The n largest rows by a metric, optional year / category filter.
 
-    Ties are broken by city, year, category (ascending).  Planned as a
-    top-k (TakeOrderedAndProject), never a full sort.
+    Values equal to 9 decimals are ties, broken by city, year, category
+    (ascending).  Planned as a top-k (TakeOrderedAndProject), never a full sort.
     """
     m = check_metric(metric).lower()
     df = cent
@@ -61,7 +64,7 @@ def top_cities(cent: DataFrame, metric: str, n: int = 10, year: int | None = Non
         df = df.where(F.col("year") == F.lit(year))
     if category is not None:
         df = df.where(F.col("category") == F.lit(category))
-    return df.orderBy(F.col(m).desc(), "city", "year", "category").limit(n)
+    return df.orderBy(F.round(m, RANK_DIGITS).desc(), "city", "year", "category").limit(n)
 
 
 def _long_metrics(cent: DataFrame) -> DataFrame:
@@ -94,6 +97,6 @@ def top_per_metric(cent: DataFrame, k: int = 3) -> DataFrame:
     before the shuffle (WindowGroupLimit), so only k rows per metric and
     partition move.
     """
-    w = Window.partitionBy("metric").orderBy(F.round("value", 9).desc(), "city", "year", "category")
+    w = Window.partitionBy("metric").orderBy(F.round("value", RANK_DIGITS).desc(), "city", "year", "category")
     return (_long_metrics(cent).withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k))

@@ -5,16 +5,10 @@ x0 = 1/n, x <- (A + I) x, divide by the L2 norm, stop when the L1 change
 is below n * tol; after ``max_iter`` rounds without convergence every node
 of that network gets 0.
 
-Two exact executions of the same iteration:
-
-* networks up to ``group_edge_limit`` edges: one grouped-map task per
-  network (``applyInPandas``), a sparse NumPy mat-vec per round — up to a
-  thousand rounds without a Spark job each;
-* larger networks: the same rounds as DataFrame joins and aggregations,
-  written to the checkpoint folder each round, so no single task ever
-  holds such a network.
-
-The split is decided from the measured edge count of each network.
+One path for every network: a grouped-map task per network runs its (up to a
+thousand) rounds as sparse NumPy products.  A network has at most one node per
+roster city and one edge per pair of them, so a task's size follows from the
+roster, a parameter, and never from the observations.
 """
 
 from __future__ import annotations
@@ -24,14 +18,12 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricenet.functions.validation import EIGEN_MAX_ITER, EIGEN_TOL
 from pricenet.operators.graph import adjacency
-from pricenet.session import GROUP, cut_lineage
-
-DEFAULT_GROUP_EDGE_LIMIT = 2_000_000
+from pricenet.session import GROUP
 
 # The grouped-map kernel travels to the Python workers by value, so workers
 # need numpy and pandas but not this package on their path.
@@ -86,55 +78,8 @@ def _grouped(nodes: DataFrame, edges: DataFrame, max_iter: int, tol: float) -> D
             .applyInPandas(_grouped_kernel(max_iter, tol), schema=_OUT_SCHEMA))
 
 
-def _iterative(nodes: DataFrame, edges: DataFrame, n: int, max_iter: int, tol: float) -> DataFrame:
-    """The same rounds as DataFrame operations, for networks too big for one task.
-
-    One round: every node sends its value to itself and to its neighbours
-    (one shuffle on (network, node) gives (A + I) x and the previous value
-    side by side), then two per-network aggregates (norm, L1 change) that are
-    one row per network and join back by broadcast.  Each round is written
-    once to the checkpoint folder; the count of still-moving rows is
-    observed during that write.  Converged networks leave the loop; those
-    still moving after ``max_iter`` rounds get zeros.
-    """
-    adj = cut_lineage(adjacency(edges))
-    x = cut_lineage(nodes.select(*GROUP, "city", F.lit(1.0 / n).alias("x")))
-    done: list[DataFrame] = []
-    limit = F.lit(n * tol)
-    for _ in range(max_iter):
-        own = x.select(*GROUP, "city", F.col("x").alias("add"), F.col("x").alias("last"))
-        sent = (x.join(adj, (x.year == adj.year) & (x.category == adj.category) & (x.city == adj.src))
-                .select(adj.year, adj.category, adj.dst.alias("city"), F.col("x").alias("add"),
-                        F.lit(0.0).alias("last")))
-        y = own.unionByName(sent).groupBy(*GROUP, "city").agg(
-            F.sum("add").alias("y"), F.sum("last").alias("last"))
-        nrm = y.groupBy(*GROUP).agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("nrm"))
-        y = y.join(nrm, GROUP).withColumn(
-            "y", F.col("y") / F.when(F.col("nrm") == 0, F.lit(1.0)).otherwise(F.col("nrm"))).drop("nrm")
-        change = y.groupBy(*GROUP).agg(F.sum(F.abs(F.col("y") - F.col("last"))).alias("l1"))
-        state = y.join(change, GROUP)
-        obs = Observation("moving")
-        state = state.observe(obs, F.count_if(F.col("l1") >= limit).alias("moving"))
-        state = cut_lineage(state)
-        done.append(state.where(F.col("l1") < limit).select(*GROUP, "city", F.col("y").alias("e_i")))
-        x = state.where(F.col("l1") >= limit).select(*GROUP, "city", F.col("y").alias("x"))
-        if obs.get["moving"] == 0:
-            break
-    out = x.select(*GROUP, "city", F.lit(0.0).alias("e_i"))
-    for d in done:
-        out = out.unionByName(d)
-    return cut_lineage(out)
-
-
-def eigenvector(nodes: DataFrame, edges: DataFrame, networks: DataFrame, n: int,
-                max_iter: int = EIGEN_MAX_ITER, tol: float = EIGEN_TOL,
-                group_edge_limit: int = DEFAULT_GROUP_EDGE_LIMIT) -> DataFrame:
-    """C4 for every network in ``networks`` (which carries ``num_edges``)."""
-    small = networks.where(F.col("num_edges") <= F.lit(group_edge_limit)).select(*GROUP)
-    big = networks.where(F.col("num_edges") > F.lit(group_edge_limit)).select(*GROUP)
-    res = _grouped(nodes.join(small, GROUP, "left_semi"), edges.join(small, GROUP, "left_semi"),
-                   max_iter, tol)
-    if not big.isEmpty():
-        res = res.unionByName(_iterative(nodes.join(big, GROUP, "left_semi"),
-                                         edges.join(big, GROUP, "left_semi"), n, max_iter, tol))
-    return res
+def eigenvector(nodes: DataFrame, edges: DataFrame, networks: DataFrame,
+                max_iter: int = EIGEN_MAX_ITER, tol: float = EIGEN_TOL) -> DataFrame:
+    """C4 for every network in ``networks``: ``(year, category, city, e_i)``."""
+    keep = networks.select(*GROUP)
+    return _grouped(nodes.join(keep, GROUP, "left_semi"), edges.join(keep, GROUP, "left_semi"), max_iter, tol)

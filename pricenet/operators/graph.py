@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pricenet.functions.validation import check_tau
 from pricenet.operators.vectors import roster_array, roster_pairs
-from pricenet.session import GROUP
+from pricenet.session import GROUP, cut_lineage
 
 
 def network_nodes(groups: DataFrame, cities: Sequence[str]) -> DataFrame:
@@ -98,18 +98,24 @@ def network_stats(networks: DataFrame, degrees: DataFrame) -> DataFrame:
 def local_clustering(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Local clustering 2T/(k(k-1)) per node (0 below degree 2).
 
-    Triangles are found once each as x < y < z: a wedge (x,y),(x,z) with
-    y < z closed by edge (y,z).  Wedges per node are bounded by the roster.
+    Edges point from the node of smaller degree (ties by name) to the larger,
+    so a hub has few outgoing ones: no node starts more than sqrt(2m) edges.
+    Each triangle is then one wedge (x,y),(x,z) closed by an edge between y
+    and z.
     """
-    e = edges.select(*GROUP, "u", "v")
-    a = e.select(*GROUP, F.col("u").alias("x"), F.col("v").alias("y"))
-    b = e.select(*GROUP, F.col("u").alias("x"), F.col("v").alias("z"))
+    deg = cut_lineage(degree_table(nodes, edges))
+    small = [deg.select(*GROUP, F.col("city").alias(c), F.struct("degree", "city").alias(f"r{c}")) for c in ("u", "v")]
+    ranked = edges.select(*GROUP, "u", "v").join(small[0], GROUP + ["u"]).join(small[1], GROUP + ["v"])
+    up = F.col("ru") < F.col("rv")
+    e = cut_lineage(ranked.select(*GROUP, "u", "v", F.when(up, F.col("u")).otherwise(F.col("v")).alias("x"),
+                                  F.when(up, F.col("v")).otherwise(F.col("u")).alias("y")))
+    a = e.select(*GROUP, "x", "y")
+    b = e.select(*GROUP, "x", F.col("y").alias("z"))
     c = e.select(*GROUP, F.col("u").alias("y"), F.col("v").alias("z"))
     tri = (a.join(b, GROUP + ["x"]).where(F.col("y") < F.col("z"))
            .join(c, GROUP + ["y", "z"]))
     per_node = (tri.select(*GROUP, F.explode(F.array("x", "y", "z")).alias("city"))
                 .groupBy(*GROUP, "city").agg(F.count("*").alias("triangles")))
-    deg = degree_table(nodes, edges)
     k = F.col("degree")
     cc = F.when(k >= 2, 2.0 * F.col("triangles") / (k * (k - 1))).otherwise(F.lit(0.0))
     return (deg.join(per_node, GROUP + ["city"], "left")

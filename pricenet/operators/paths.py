@@ -1,6 +1,6 @@
 """All-pairs hop distances and shortest-path counts (C0) and what derives
-from them: closeness (C2), betweenness (C3), components (N8), diameter and
-mean path length (N10).
+from them: closeness (C2), betweenness (C3), diameter and mean path length
+(N10).  Components (N8) need no paths, see :mod:`pricenet.operators.components`.
 
 Breadth-first search runs from every node of every network at once, one
 DataFrame round per hop.  In an undirected graph a node first reached at
@@ -37,12 +37,11 @@ class ShortestPaths:
         return reduce(DataFrame.unionByName, self.levels)
 
 
-def shortest_paths(nodes: DataFrame, edges: DataFrame, max_hops: int | None = None) -> ShortestPaths:
+def shortest_paths(nodes: DataFrame, edges: DataFrame) -> ShortestPaths:
     """Level-synchronous BFS with path counting (sigma as DOUBLE).
 
     Every level is written to the checkpoint folder (one job) and the loop
-    stops at the first empty level, which is exact.  ``max_hops`` only
-    bounds the loop for safety in tests.
+    stops at the first empty level, which is exact.
     """
     adj = cut_lineage(adjacency(edges).withColumnRenamed("src", "t"))
     level0 = nodes.select(
@@ -50,7 +49,7 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, max_hops: int | None = No
         F.lit(0).alias("d"), F.lit(1.0).alias("sigma"))
     levels = [level0]
     hop = 0
-    while max_hops is None or hop < max_hops:
+    while True:
         front = levels[-1]
         step = (front.join(adj, GROUP + ["t"])
                 .groupBy(*GROUP, "s", F.col("dst").alias("t"))
@@ -70,17 +69,15 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, max_hops: int | None = No
 
 def path_summary(sp: ShortestPaths) -> DataFrame:
     """One pass over all-pairs paths: per source node, the number of other
-    nodes reached, their distance sum, its eccentricity and a component
-    label (the smallest node name it reaches, itself included).
+    nodes reached, their distance sum and its eccentricity.
 
-    Closeness, components and path metrics all derive from this table, so
-    the all-pairs table — the largest of the graph stage — is scanned once.
+    Closeness and path metrics derive from this table, so the all-pairs
+    table — the largest of the graph stage — is scanned once.
     """
     return sp.table.groupBy(*GROUP, F.col("s").alias("city")).agg(
         F.count_if(F.col("d") > 0).alias("reached"),
         F.sum("d").alias("dist_sum"),
-        F.max("d").alias("eccentricity"),
-        F.min("t").alias("component"))
+        F.max("d").alias("eccentricity"))
 
 
 def closeness_from_summary(summary: DataFrame, n: int) -> DataFrame:
@@ -95,17 +92,6 @@ def closeness(nodes: DataFrame, sp: ShortestPaths, n: int) -> DataFrame:
     return closeness_from_summary(path_summary(sp), n)
 
 
-def components(nodes: DataFrame, sp: ShortestPaths) -> DataFrame:
-    """Component label per node (smallest node name reachable)."""
-    return nodes.join(path_summary(sp).select(*GROUP, "city", "component"), GROUP + ["city"], "left")
-
-
-def component_counts(comp: DataFrame) -> DataFrame:
-    """Number of components and connectivity per network."""
-    return comp.groupBy(*GROUP).agg(F.countDistinct("component").alias("num_components")).withColumn(
-        "is_connected", F.col("num_components") == 1)
-
-
 def path_metrics_from_summary(summary: DataFrame, counts: DataFrame, n: int) -> DataFrame:
     """Diameter and mean shortest path, only for connected networks, n > 1.
 

@@ -13,15 +13,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricenet.functions.exprs import abs_pearson
+from pricenet.functions.quantiles import distributed_rank
 from pricenet.functions.validation import (
     DEFAULT_METRIC_WEIGHTS, ENTROPY_EPS, SCHEMES, UNKNOWN_CATEGORY_WEIGHT, check_metric_weights,
     check_scheme)
-from pricenet.operators.centrality import METRIC_COLS
-from pricenet.session import GROUP
+from pricenet.operators.centrality import METRIC_COLS, RANK_DIGITS
+from pricenet.session import GROUP, cut_lineage
 
 SCHEME_COLS = [s.lower() for s in SCHEMES]
-# Scores equal to 9 decimals are ties (broken by city): float noise must not reorder.
-RANK_DIGITS = 9
 _PAIRS = [(a, b) for i, a in enumerate(METRIC_COLS) for b in METRIC_COLS[i + 1:]]
 
 
@@ -73,23 +72,30 @@ def score_category(cent: DataFrame, category_weights: Mapping[str, float] | None
     return cent.withColumn("score_category", eq).withColumn("score_category_weighted", F.col("score_category") * w)
 
 
+def _shares(cent: DataFrame) -> DataFrame:
+    """``cent`` with ``p_<metric>``: the share of each value in its network's total, plus 1e-10.
+
+    Uniform shares where the total is <= 1e-10.  Totals are one aggregated row
+    per network, joined back.
+    """
+    totals = cut_lineage(cent.groupBy(*GROUP).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(f"_t_{m}") for m in METRIC_COLS]))
+    out = cent.join(totals, GROUP).withColumns({
+        f"p_{m}": F.when(F.col(f"_t_{m}") > ENTROPY_EPS, F.col(m) / F.col(f"_t_{m}"))
+        .otherwise(F.lit(1.0) / F.col("_n")) + F.lit(ENTROPY_EPS) for m in METRIC_COLS})
+    return out.drop("_n", *[f"_t_{m}" for m in METRIC_COLS])
+
+
+def _entropies() -> list:
+    return [(-F.sum(F.col(f"p_{m}") * F.log(F.col(f"p_{m}")))).alias(f"h_{m}") for m in METRIC_COLS]
+
+
 def metric_entropy(cent: DataFrame) -> DataFrame:
-    """Shannon entropy of each metric within a network.
+    """Shannon entropy -sum p ln p of each metric within a network.
 
-    p = x / sum(x) (uniform 1/n when the sum is <= 1e-10), then p + 1e-10
-    without renormalising, H = -sum p ln p.  The per-network totals come
-    from a window whose partition is one network (roster-sized).
+    The shares are not renormalised after the 1e-10 is added.
     """
-    w = Window.partitionBy(*GROUP)
-    n = F.count(F.lit(1)).over(w)
-    cols = []
-    for m in METRIC_COLS:
-        tot = F.sum(m).over(w)
-        p = F.when(tot > ENTROPY_EPS, F.col(m) / tot).otherwise(F.lit(1.0) / n) + F.lit(ENTROPY_EPS)
-        cols.append(p.alias(f"p_{m}"))
-    probs = cent.select(*GROUP, *cols)
-    return probs.groupBy(*GROUP).agg(
-        *[(-F.sum(F.col(f"p_{m}") * F.log(F.col(f"p_{m}")))).alias(f"h_{m}") for m in METRIC_COLS])
+    return _shares(cent.select(*GROUP, *METRIC_COLS)).groupBy(*GROUP).agg(*_entropies())
 
 
 def _entropy_weights(ent: DataFrame) -> DataFrame:
@@ -120,18 +126,11 @@ def scores_all(cent: DataFrame, category_weights: Mapping[str, float] | None = N
     One grouped aggregate produces both the correlation moments and the
     entropies; it is joined back to the centrality rows on the network key.
     """
-    w = Window.partitionBy(*GROUP)
-    n = F.count(F.lit(1)).over(w)
-    probs = {}
-    for m in METRIC_COLS:
-        tot = F.sum(m).over(w)
-        probs[f"p_{m}"] = F.when(tot > ENTROPY_EPS, F.col(m) / tot).otherwise(F.lit(1.0) / n) + F.lit(ENTROPY_EPS)
-    stats = (cent.select(*GROUP, *METRIC_COLS).withColumns(probs).groupBy(*GROUP).agg(
-        *[abs_pearson(a, b).alias(f"rho_{a}_{b}") for a, b in _PAIRS],
-        *[(-F.sum(F.col(f"p_{m}") * F.log(F.col(f"p_{m}")))).alias(f"h_{m}") for m in METRIC_COLS]))
+    stats = cut_lineage(_shares(cent.select(*GROUP, *METRIC_COLS)).groupBy(*GROUP).agg(
+        *[abs_pearson(a, b).alias(f"rho_{a}_{b}") for a, b in _PAIRS], *_entropies()))
     wc = _corr_weights(stats)
     we = _entropy_weights(stats)
-    weights = wc.join(we, GROUP)
+    weights = cut_lineage(wc.join(we, GROUP))
     out = score_equal(cent).join(weights, GROUP, "left")
     out = out.withColumn("score_correlation", _weighted_sum({m: F.col(f"wc_{m}") for m in METRIC_COLS}))
     out = score_category(out, category_weights)
@@ -163,12 +162,14 @@ def scores_by_year(scores: DataFrame, sort: bool = True) -> DataFrame:
 def rankings(year_scores: DataFrame, scheme: str, year: int | None = None) -> DataFrame:
     """Consecutive ranks 1..n by a scheme within a year (ties by city).
 
-    With ``year`` set, one year; otherwise every year, ranked separately.
+    With ``year`` set, one year; otherwise every year, ranked separately.  Ranks
+    are distributed: no task sorts a whole year.
     """
     s = check_scheme(scheme).lower()
     df = year_scores if year is None else year_scores.where(F.col("year") == F.lit(year))
-    w = Window.partitionBy("year").orderBy(F.round(s, RANK_DIGITS).desc(), F.col("city").asc())
-    return df.select("year", F.row_number().over(w).alias("rank"), "city", s)
+    ranked = distributed_rank(df.select("year", "city", s), ["year"],
+                              [F.round(s, RANK_DIGITS).desc(), F.col("city").asc()])
+    return ranked.select("year", "rank", "city", s)
 
 
 def compare_schemes(year_scores: DataFrame, year: int | None = None, top_n: int = 10) -> DataFrame:

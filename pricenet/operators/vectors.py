@@ -39,9 +39,10 @@ def features(obs: DataFrame) -> DataFrame:
     """V2 + V3: one value per (year, category, city, feature).
 
     feature = ``<month_year>_<item_description>``; duplicates keep the first
-    non-null value in file order (``ordinal``), or the only value when the
-    input keys are unique and carry no ordinal.  All cities are kept here
-    (they define the slice's feature set); roster restriction comes later.
+    non-null value in the order of ``ordinal`` (any orderable type).  Without
+    an ordinal keys have to be unique: a repeated key fails the job, as no
+    value could be called the first.  All cities are kept here (they define
+    the slice's feature set); roster restriction comes later.
     """
     base = (obs.where(F.col("normalized_price").isNotNull())
             .withColumn("feature", feature_key()))
@@ -49,13 +50,19 @@ def features(obs: DataFrame) -> DataFrame:
     if "ordinal" in obs.columns:
         value = F.min_by("normalized_price", "ordinal")
     else:
-        value = F.min("normalized_price")
+        unordered = F.raise_error(F.lit("repeated (slice, city, feature) without an ordinal to order them")).cast("double")
+        value = F.when(F.count("*") > 1, unordered).otherwise(F.min("normalized_price"))
     return base.groupBy(*keys).agg(value.alias("value"))
 
 
-def slice_groups(feats: DataFrame) -> DataFrame:
-    """Slices that have data: at least one non-null observation."""
-    return feats.select(*GROUP).distinct()
+def slice_groups(rows: DataFrame) -> DataFrame:
+    """Slices that have data: at least one non-null observation (or a feature row).
+
+    Read off the observations, so that listing slices needs no feature table.
+    """
+    if "normalized_price" in rows.columns:
+        rows = rows.where(F.col("normalized_price").isNotNull())
+    return rows.select(*GROUP).distinct()
 
 
 def roster_features(feats: DataFrame, cities: Sequence[str]) -> DataFrame:

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from pricenet.functions.validation import DEFAULT_METRIC_WEIGHTS, check_roster, check_tau
 from pricenet.operators import centrality as C
+from pricenet.operators import components as K
 from pricenet.operators import graph as N
 from pricenet.operators import paths as P
 from pricenet.operators import scoring as W
 from pricenet.operators import vectors as V
-from pricenet.operators.eigen import DEFAULT_GROUP_EDGE_LIMIT, eigenvector
+from pricenet.operators.eigen import eigenvector
 from pricenet.session import GROUP, cut_lineage
 
 
@@ -31,15 +32,13 @@ class Analysis:
                  weighted: bool = False, years: Sequence[int] | None = None,
                  categories: Sequence[str] | None = None,
                  category_weights: Mapping[str, float] | None = None,
-                 interactive_weights: Mapping[str, float] | None = None,
-                 group_edge_limit: int = DEFAULT_GROUP_EDGE_LIMIT):
+                 interactive_weights: Mapping[str, float] | None = None):
         self.cities = check_roster(cities)
         self.n = len(self.cities)
         self.tau = check_tau(tau)
         self.weighted = weighted
         self.category_weights = dict(category_weights or {})
         self.interactive_weights = dict(interactive_weights or DEFAULT_METRIC_WEIGHTS)
-        self.group_edge_limit = group_edge_limit
         obs = observations
         if years is not None:
             obs = obs.where(F.col("year").isin(list(years)))
@@ -63,7 +62,7 @@ class Analysis:
 
     @cached_property
     def groups(self) -> DataFrame:
-        return V.slice_groups(self.features)
+        return self._keep(V.slice_groups(self.observations))
 
     @cached_property
     def roster_features(self) -> DataFrame:
@@ -108,6 +107,13 @@ class Analysis:
     def local_clustering(self) -> DataFrame:
         return N.local_clustering(self.nodes, self.edges)
 
+    @cached_property
+    def network_statistics(self) -> DataFrame:
+        """N7-N10 as one row per network: size, degrees, components, clustering, paths."""
+        return (self.stats.join(self.clustering, GROUP, "left")
+                .join(self.path_metrics, GROUP, "left")
+                .withColumn("num_components", F.col("num_components").cast("long")))
+
     @cached_property
     def clustering(self) -> DataFrame:
         return N.average_clustering(self.local_clustering)
@@ -119,16 +125,16 @@ class Analysis:
 
     @cached_property
     def path_summary(self) -> DataFrame:
-        """Per-node reach / distance / component summary (one pass over paths)."""
+        """Per-node reach and distance summary (one pass over paths)."""
         return self._keep(P.path_summary(self.paths))
 
     @cached_property
     def components(self) -> DataFrame:
-        return self.nodes.join(self.path_summary.select(*GROUP, "city", "component"), GROUP + ["city"], "left")
+        return self._keep(K.components(self.nodes, self.edges))
 
     @cached_property
     def component_counts(self) -> DataFrame:
-        return P.component_counts(self.path_summary)
+        return K.component_counts(self.components)
 
     @cached_property
     def path_metrics(self) -> DataFrame:
@@ -149,8 +155,7 @@ class Analysis:
 
     @cached_property
     def eigenvector(self) -> DataFrame:
-        return eigenvector(self.nodes, self.edges, self.networks, self.n,
-                           group_edge_limit=self.group_edge_limit)
+        return self._keep(eigenvector(self.nodes, self.edges, self.networks))
 
     @cached_property
     def centrality(self) -> DataFrame:

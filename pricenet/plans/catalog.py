@@ -9,6 +9,7 @@ one run share materialised tables instead of rebuilding them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -25,7 +26,7 @@ from pricenet.operators import temporal as TT
 from pricenet.operators import vectors as V
 from pricenet.plans import report as S
 from pricenet.plans.analysis import Analysis
-from pricenet.session import GROUP, cut_lineage, ensure_checkpoint_dir
+from pricenet.session import GROUP, cut_lineage, ensure_checkpoint_dir, run_folder
 from pricenet.sources import panel
 
 # Fixed query parameters.
@@ -37,6 +38,8 @@ SERIES_CATEGORY = "ECONOMY"
 CATEGORY_WEIGHTS = {"STANDARD": 0.25, "SMALL": 0.35, "MEDIUM": 0.15, "LARGE": 0.15}
 CUSTOM_WEIGHTS = {"D_i": 0.4, "C_i": 0.3, "B_i": 0.2, "E_i": 0.1}
 INDUCED_N = 10
+# Left without prices (S1) and without a lookup row.
+UNPRICED_CATEGORY = "SMALL"
 TOP_N = 10
 
 
@@ -117,11 +120,15 @@ def _nested_relation(c: Context) -> DataFrame:
 # ------------------------------------------------------------ query bodies
 
 def q_observations(spark, d):
-    ref = panel.fixture_observations(spark, d).select(
+    """S1 from written files: capitalised names, one column too many, one item without any price."""
+    rows = panel.fixture_observations(spark, d).select(
         F.col("city").alias("City"), F.col("year").alias("Year"), F.col("category").alias("Category"),
         F.col("month_year").alias("Month_Year"), F.col("item_description").alias("Item_Description"),
-        F.col("normalized_price").alias("Normalized_Price"))
-    return panel.observations(ref, ordinal=False)
+        F.when(F.col("category") != UNPRICED_CATEGORY, F.col("normalized_price")).alias("Normalized_Price"),
+        F.length("city").alias("Extra"))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricenet-tables/{run_folder(spark)}/{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    return panel.read_observations(spark, folder).drop("ordinal")
 
 
 def q_prep_unpivot(spark, d):
@@ -133,10 +140,19 @@ def q_prep_unpivot(spark, d):
 
 
 def q_prep_categorize(spark, d):
-    raw = panel.raw_price_panel(spark, d).drop("category")
-    lookup = (panel.table(spark, d, "part")
-              .select(F.col("p_type").alias("item_description"), F.col("p_type").alias("category")).distinct())
-    return panel.categorize(raw, lookup)
+    """Items are part keys, their categories come from the lookup alone; some parts are not in it."""
+    raw = panel.raw_price_panel(spark, d, item_col="p_partkey").drop("category")
+    lookup = (panel.table(spark, d, "part").where(F.col("p_type") != UNPRICED_CATEGORY)
+              .select(F.col("p_partkey").cast("string").alias("item_description"), F.col("p_type").alias("category")))
+    return panel.categorize(raw, lookup, default="Other")
+
+
+def q_vector_dedup(spark, d):
+    """V3 on single order lines: several prices a feature, in line order, those of returned lines missing."""
+    lines = panel.line_prices(spark, d).select(
+        "city", "year", "category", "month_year", "item_description", "ordinal",
+        F.when(F.col("returned"), F.lit(None)).otherwise(F.col("unit_price")).cast("double").alias("normalized_price"))
+    return V.features(lines)
 
 
 def q_feature_key(spark, d):
@@ -161,7 +177,7 @@ def q_centrality_single(spark, d):
 
 def q_top_cities(spark, d):
     top = C.top_cities(main(spark, d).centrality, "D_i", TOP_N)
-    w = Window.orderBy(F.col("d_i").desc(), "city", "year", "category")
+    w = Window.orderBy(F.round("d_i", C.RANK_DIGITS).desc(), "city", "year", "category")
     return top.withColumn("rank", F.row_number().over(w))
 
 
@@ -170,6 +186,12 @@ def q_edge_subset(spark, d):
     return TT.edge_subset(N.threshold_edges(pairs, 0.5), N.threshold_edges(pairs, 0.2), GROUP)
 
 
+def q_edge_subset_swapped(spark, d):
+    """T1 the other way round: false wherever the lower threshold adds an edge."""
+    pairs = main(spark, d).pairs
+    return TT.edge_subset(N.threshold_edges(pairs, 0.2), N.threshold_edges(pairs, 0.5), GROUP)
+
+
 def q_containment_years(spark, d):
     e = main(spark, d).edges
     return TT.containment_relation(e, ["category"], "year")
@@ -180,6 +202,13 @@ def q_partial_order(spark, d):
     return TT.partial_order_check(_nested_edges(c), _nested_relation(c), GROUP, "step")
 
 
+def q_partial_order_broken(spark, d):
+    """T2 on a relation that lacks its step from the first to the last set: not transitive."""
+    c = ctx(spark, d)
+    lacking = _nested_relation(c).where(~((F.col("t_from") == 1) & (F.col("t_to") == len(NESTED_TAUS))))
+    return TT.partial_order_check(_nested_edges(c), lacking, GROUP, "step")
+
+
 def q_feed_network(spark, d):
     a = main(spark, d)
     return G.network_feed(a.degrees, a.edges)[0]
@@ -203,7 +232,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # vectors and similarity
     "slice": lambda s, d: V.slice_filter(ctx(s, d).obs, SLICE_YEAR, SLICE_CATEGORY),
     "feature_key": q_feature_key,
-    "vector_dedup": _q(lambda a: a.features),
+    "vector_dedup": q_vector_dedup,
+    "vector_features": _q(lambda a: a.features),
     "vector_matrix": _q(lambda a: a.roster_features),
     "vector_coverage": lambda s, d: V.coverage(main(s, d).features, ctx(s, d).roster),
     "vector_norm": _q(lambda a: V.norms(a.roster_features)),
@@ -222,6 +252,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "connected_components": _q(lambda a: a.component_counts),
     "clustering_coefficient": _q(lambda a: a.clustering),
     "path_metrics": _q(lambda a: a.path_metrics),
+    "network_statistics": _q(lambda a: a.network_statistics),
     "network_summary": _q(lambda a: N.network_summary(a.networks)),
     "induced_subgraph": q_induced_subgraph,
     # paths and centrality
@@ -250,11 +281,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_schemes": _q(lambda a: W.compare_schemes(a.year_scores, None, TOP_N)),
     # temporal
     "edge_subset": q_edge_subset,
+    "edge_subset_swapped": q_edge_subset_swapped,
     "containment_relation": lambda s, d: _nested_relation(ctx(s, d)),
     "containment_relation_years": q_containment_years,
     "containment_reduction": lambda s, d: TT.containment_reduction(_nested_relation(ctx(s, d)), GROUP),
     "hasse_edges": lambda s, d: TT.hasse_edges(TT.containment_reduction(_nested_relation(ctx(s, d)), GROUP), GROUP),
     "partial_order_check": q_partial_order,
+    "partial_order_broken": q_partial_order_broken,
     "network_evolution": _q(lambda a: a.evolution),
     "density_by_year": _q(lambda a: TT.density_by_year(a.evolution)),
     # feeds and report

@@ -1,10 +1,10 @@
 """Batch job surface: ``run_full_analysis`` (J1) and the CLI ``main``.
 
-    spark-submit pricenet/plans/job.py --input obs.parquet --cities A,B,C \
+    spark-submit pricenet/plans/job.py --input obs.parquet --cities A,B,C \\
         --years 2023 2024 --threshold 0.75 --output /shared/results
 
-Steps fail softly, as documented for the reference job: a failing step is
-reported and its result left out, later steps run on what exists.
+A failing step is reported and its result left out, later steps run on what
+exists; the command then ends with an error that names the failed steps.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricenet.operators import scoring as W
 from pricenet.plans.analysis import Analysis
-from pricenet.plans.report import render_markdown, save_results, summary_counts, top5_by_year
-from pricenet.session import GROUP
+from pricenet.plans.report import render_markdown, save_report, save_results, summary_counts, top5_by_year
+from pricenet.session import GROUP, drop_run_tables
 from pricenet.sources.panel import read_observations
 
 log = logging.getLogger("pricenet")
@@ -29,58 +30,74 @@ log = logging.getLogger("pricenet")
 def run_full_analysis(observations: DataFrame, cities: Sequence[str], tau: float = 0.75,
                       years: Sequence[int] | None = None, categories: Sequence[str] | None = None,
                       output_dir: str | None = None, weighted: bool = False,
-                      category_weights: Mapping[str, float] | None = None) -> dict[str, Any]:
+                      category_weights: Mapping[str, float] | None = None,
+                      fmt: str = "parquet") -> dict[str, Any]:
     """Build networks, centralities, scores, roll-up and evolution; save.
 
     Returns the result tables (DataFrames; the shared ones are already
-    materialised) plus the markdown report.
+    materialised), the markdown report and ``failed``, the names of steps
+    that raised.  With ``output_dir`` tables are written in ``fmt`` (parquet
+    or csv), the report beside them.
     """
     a = Analysis(observations, cities, tau=tau, weighted=weighted, years=years,
                  categories=categories, category_weights=category_weights)
-    results: dict[str, Any] = {"analysis": a}
+    results: dict[str, Any] = {"analysis": a, "failed": []}
 
-    def step(name: str, fn):
+    def step(name: str, needs: Sequence[str], fn) -> None:
+        if any(results.get(x) is None for x in needs):
+            results[name] = None
+            return
         try:
             results[name] = fn()
-        except Exception as exc:  # soft failure, as in the reference job
+        except Exception as exc:
             log.error("step %s failed: %s", name, exc)
             results[name] = None
-
-    step("networks", lambda: a.networks)
-    step("centrality_scores", lambda: a.centrality if results["networks"] is not None else None)
-    step("weighted_scores", lambda: a.scores if results["centrality_scores"] is not None else None)
-    step("final_rankings", lambda: W.scores_by_year(a.scores) if results["weighted_scores"] is not None else None)
-    step("network_evolution", lambda: a.evolution.orderBy(*GROUP) if results["networks"] is not None else None)
+            results["failed"].append(name)
+
+    step("networks", [], lambda: a.networks)
+    step("centrality_scores", ["networks"], lambda: a.centrality)
+    step("weighted_scores", ["centrality_scores"], lambda: a.scores)
+    step("final_rankings", ["weighted_scores"], lambda: W.scores_by_year(a.scores))
+    step("network_evolution", ["networks"], lambda: a.evolution.orderBy(*GROUP))
+    step("report", ["centrality_scores", "final_rankings", "network_evolution"], lambda: render_markdown(
+        summary_counts(a.networks, a.centrality, a.evolution), top5_by_year(a.year_scores)))
     if output_dir:
-        step("saved", lambda: save_results(results, output_dir))
-    if all(results.get(k) is not None for k in ("networks", "centrality_scores", "network_evolution",
-                                                "final_rankings")):
-        step("report", lambda: render_markdown(
-            summary_counts(a.networks, a.centrality, a.evolution), top5_by_year(a.year_scores)))
+        step("saved", [], lambda: save_results(results, output_dir, fmt))
+        step("saved_report", ["report"], lambda: save_report(observations.sparkSession, results["report"], output_dir))
     return results
 
 
 def main(argv: Sequence[str] | None = None) -> int:
-    """Command-line job (``--quick`` keeps only the first year)."""
+    """Command-line job; 0 only if every step succeeded.
+
+    ``--quick`` keeps the first of the given years, or the earliest year of the
+    input where none is given.
+    """
     p = argparse.ArgumentParser(description="Price similarity network analysis")
     p.add_argument("--input", required=True, help="observation table (parquet/csv/json)")
-    p.add_argument("--format", default="parquet")
+    p.add_argument("--format", default="parquet", help="format of the input")
     p.add_argument("--cities", required=True, help="comma-separated city roster")
     p.add_argument("--years", type=int, nargs="*")
     p.add_argument("--categories", nargs="*")
     p.add_argument("--threshold", type=float, default=0.75)
     p.add_argument("--output", default="data/results")
+    p.add_argument("--output-format", choices=["parquet", "csv"], default="parquet")
     p.add_argument("--quick", action="store_true")
     args = p.parse_args(argv)
-    years = args.years
-    if args.quick and years:
-        years = years[:1]
     spark = SparkSession.builder.appName("pricenet").getOrCreate()
     obs = read_observations(spark, args.input, args.format)
+    years = args.years
+    if args.quick:
+        first = years[0] if years else obs.agg(F.min("year")).first()[0]
+        years = [] if first is None else [first]
     res = run_full_analysis(obs, args.cities.split(","), tau=args.threshold, years=years,
-                            categories=args.categories, output_dir=args.output)
+                            categories=args.categories, output_dir=args.output, fmt=args.output_format)
+    drop_run_tables(spark)
     if res.get("report"):
         print(res["report"])
+    if res["failed"]:
+        print("failed steps: " + ", ".join(res["failed"]), file=sys.stderr)
+        return 1
     return 0
 
 

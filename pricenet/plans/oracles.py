@@ -13,7 +13,6 @@ from pricenet.plans import catalog as Q
 
 ABSENT = "NATION_ABSENT"
 G = "year, category"
-WALK_DEPTH = 12  # must exceed the largest finite hop distance
 
 
 def _tau_edges(tau: str) -> str:
@@ -111,12 +110,13 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT n.year, n.category, n.city, n.node_id, CAST(count(a.dst) AS BIGINT) AS degree
         FROM nodes n LEFT JOIN adj a ON a.year = n.year AND a.category = n.category AND a.src = n.city
         GROUP BY 1, 2, 3, 4"""),
-    "walks": (["nodes", "adj"], f"""
+    # No shortest path is longer than the number of nodes less one.
+    "walks": (["nodes", "adj", "nr"], """
         SELECT year, category, city AS s, city AS t, 0 AS l, 1.0::DOUBLE AS cnt FROM nodes
         UNION ALL
         SELECT w.year, w.category, w.s, a.dst AS t, w.l + 1 AS l, sum(w.cnt) AS cnt
         FROM walks w JOIN adj a ON a.year = w.year AND a.category = w.category AND a.src = w.t
-        WHERE w.l < {WALK_DEPTH}
+        WHERE w.l < (SELECT n FROM nr) - 1
         GROUP BY 1, 2, 3, 4, 5"""),
     "paths": (["walks"], """
         SELECT year, category, s, t, CAST(min(l) AS INTEGER) AS d, arg_min(cnt, l) AS sigma
@@ -259,6 +259,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         JOIN (SELECT year, category, step, count(*) AS size FROM nested GROUP BY 1, 2, 3) z
           ON z.year = s.year AND z.category = s.category AND z.step = s.t_from
         WHERE s.shared = z.size"""),
+    "nrel_broken": (["nrel"], f"SELECT * FROM nrel WHERE NOT (t_from = 1 AND t_to = {len(Q.NESTED_TAUS)})"),
     "nred": (["nrel"], """
         SELECT * FROM nrel r
         WHERE NOT EXISTS (
@@ -303,13 +304,44 @@ SCORE_SEL = _cols("year", "city", _r("score_equal", "score_equal"), _r("score_co
                   _r("score_entropy", "score_entropy"), _r("score_category_weighted", "score_category_weighted"),
                   _r("score_interactive", "score_interactive"))
 
+PARTIAL_ORDER = """
+        SELECT *, reflexive AND antisymmetric AND transitive AS is_partial_order FROM (
+        SELECT year, category,
+          NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT year, category, step FROM nested) t
+                      WHERE t.year = k.year AND t.category = k.category
+                        AND NOT EXISTS (SELECT 1 FROM nrel r WHERE r.year = t.year AND r.category = t.category
+                                        AND r.t_from = t.step AND r.t_to = t.step)) AS reflexive,
+          NOT EXISTS (SELECT 1 FROM nrel a JOIN nrel b ON a.year = b.year AND a.category = b.category
+                        AND a.t_from = b.t_to AND a.t_to = b.t_from
+                      WHERE a.year = k.year AND a.category = k.category AND a.t_from < a.t_to
+                        AND (SELECT count(*) FROM nested x WHERE x.year = a.year AND x.category = a.category AND x.step = a.t_from)
+                         <> (SELECT count(*) FROM nested x WHERE x.year = a.year AND x.category = a.category AND x.step = a.t_to)
+                     ) AS antisymmetric,
+          NOT EXISTS (SELECT 1 FROM nrel a JOIN nrel b ON a.year = b.year AND a.category = b.category AND a.t_to = b.t_from
+                      WHERE a.year = k.year AND a.category = k.category
+                        AND NOT EXISTS (SELECT 1 FROM nrel c WHERE c.year = a.year AND c.category = a.category
+                                        AND c.t_from = a.t_from AND c.t_to = b.t_to)) AS transitive
+        FROM (SELECT DISTINCT year, category FROM nested) k)"""
+
 ORACLES: dict[str, str] = {
-    "observations": build(f"SELECT {OBS_COLS} FROM obs", ["obs"]),
+    "observations": build(f"""
+        SELECT city, year, category, month_year, item_description,
+               CASE WHEN category <> '{Q.UNPRICED_CATEGORY}' THEN {_r('normalized_price', 'x').removesuffix(' AS x')} END AS normalized_price
+        FROM obs""", ["obs"]),
     "prep_time_features": build(f"SELECT {RAW_COLS} FROM raw", ["raw"]),
     "prep_unpivot": build(f"SELECT year, month_year, category, item_description, city, CAST(price AS FLOAT) AS price "
                           f"FROM raw WHERE price IS NOT NULL", ["raw"]),
-    "prep_categorize": build(f"SELECT item_description, city, year, month_year, CAST(price AS FLOAT) AS price, "
-                             f"item_description AS category FROM raw", ["raw"]),
+    "prep_categorize": build(f"""
+        SELECT n.n_name AS city, CAST(year(o.o_orderdate) AS INTEGER) AS year, strftime(o.o_orderdate, '%Y-%m') AS month_year,
+               CAST(p.p_partkey AS VARCHAR) AS item_description,
+               CAST(avg(l.l_extendedprice / l.l_quantity) AS FLOAT) AS price,
+               CASE WHEN p.p_type = '{Q.UNPRICED_CATEGORY}' THEN 'Other' ELSE p.p_type END AS category
+        FROM lineitem l
+        JOIN orders o ON l.l_orderkey = o.o_orderkey
+        JOIN customer c ON o.o_custkey = c.c_custkey
+        JOIN nation n ON c.c_nationkey = n.n_nationkey
+        JOIN part p ON l.l_partkey = p.p_partkey
+        GROUP BY 1, 2, 3, 4, 6""", []).removeprefix("WITH RECURSIVE ").lstrip(),
     "prep_zscore": build(f"SELECT {OBS_COLS} FROM obs", ["obs"]),
     "slice": build(f"SELECT {OBS_COLS} FROM obs WHERE year = {Q.SLICE_YEAR} AND category = '{Q.SLICE_CATEGORY}'",
                    ["obs"]),
@@ -317,7 +349,21 @@ ORACLES: dict[str, str] = {
         "SELECT year, category, city, coalesce(CAST(month_year AS VARCHAR), 'None') || '_' || "
         f"coalesce(CAST(item_description AS VARCHAR), 'None') AS feature, {_r('normalized_price', 'normalized_price')} "
         "FROM obs", ["obs"]),
-    "vector_dedup": build(f"SELECT year, category, city, feature, {_r('value', 'value')} FROM feats", ["feats"]),
+    "vector_dedup": build(f"""
+        SELECT year, category, city, feature, {_r('value', 'value')}
+        FROM (SELECT CAST(year(o.o_orderdate) AS INTEGER) AS year, p.p_type AS category, n.n_name AS city,
+                     strftime(o.o_orderdate, '%Y-%m') || '_' || p.p_type AS feature,
+                     l.l_extendedprice / l.l_quantity AS value,
+                     row_number() OVER (PARTITION BY year(o.o_orderdate), p.p_type, n.n_name, strftime(o.o_orderdate, '%Y-%m')
+                                        ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_extendedprice / l.l_quantity) AS place
+              FROM lineitem l
+              JOIN orders o ON l.l_orderkey = o.o_orderkey
+              JOIN customer c ON o.o_custkey = c.c_custkey
+              JOIN nation n ON c.c_nationkey = n.n_nationkey
+              JOIN part p ON l.l_partkey = p.p_partkey
+              WHERE l.l_returnflag <> 'R')
+        WHERE place = 1""", []).removeprefix("WITH RECURSIVE ").lstrip(),
+    "vector_features": build(f"SELECT year, category, city, feature, {_r('value', 'value')} FROM feats", ["feats"]),
     "vector_matrix": build(f"SELECT year, category, city, feature, {_r('value', 'value')} FROM rf", ["rf"]),
     "vector_coverage": build(f"""
         SELECT year, category, (SELECT n FROM nr) AS n_cities, n_features,
@@ -375,6 +421,19 @@ ORACLES: dict[str, str] = {
         FROM ccount k LEFT JOIN (SELECT year, category, max(d) AS diam, avg(d) AS apl
                                  FROM paths WHERE d > 0 GROUP BY 1, 2) p USING (year, category)""",
                           ["ccount", "paths", "nr"]),
+    "network_statistics": build(f"""
+        SELECT w.year, w.category, w.num_nodes, w.num_edges, {_r('w.density', 'density')},
+               {_r('d.avg_degree', 'avg_degree')}, d.max_degree, d.min_degree, {_r('c.clustering', 'clustering')},
+               k.num_components, k.is_connected,
+               CASE WHEN k.is_connected AND (SELECT n FROM nr) > 1 THEN CAST(p.diam AS BIGINT) END AS diameter,
+               {_r('CASE WHEN k.is_connected AND (SELECT n FROM nr) > 1 THEN p.apl END', 'avg_path_length')}
+        FROM nets w
+        JOIN (SELECT year, category, avg(degree) AS avg_degree, max(degree) AS max_degree,
+                     min(degree) AS min_degree FROM deg GROUP BY 1, 2) d USING (year, category)
+        JOIN clust c USING (year, category) JOIN ccount k USING (year, category)
+        LEFT JOIN (SELECT year, category, max(d) AS diam, avg(d) AS apl
+                   FROM paths WHERE d > 0 GROUP BY 1, 2) p USING (year, category)""",
+                                ["nets", "deg", "clust", "ccount", "paths", "nr"]),
     "network_summary": build(f"""
         SELECT count(*) AS num_networks, CAST(sum(num_edges) AS BIGINT) AS total_edges,
                {_r('avg(density)', 'mean_density')}, {_r('min(density)', 'min_density')},
@@ -400,8 +459,8 @@ ORACLES: dict[str, str] = {
           {_r("CASE WHEN max(e_i) OVER w = min(e_i) OVER w THEN 0.5 ELSE (e_i - min(e_i) OVER w) / (max(e_i) OVER w - min(e_i) OVER w) END", 'e_i_norm')}
         FROM cent WINDOW w AS (PARTITION BY year, category)""", ["cent"]),
     "top_cities": build(f"""
-        SELECT {CENT_COLS}, CAST(row_number() OVER (ORDER BY d_i DESC, city, year, category) AS INTEGER) AS rank
-        FROM cent ORDER BY d_i DESC, city, year, category LIMIT {Q.TOP_N}""", ["cent"]),
+        SELECT {CENT_COLS}, CAST(row_number() OVER (ORDER BY round(d_i, 9) DESC, city, year, category) AS INTEGER) AS rank
+        FROM cent ORDER BY round(d_i, 9) DESC, city, year, category LIMIT {Q.TOP_N}""", ["cent"]),
     "centrality_summary": build(f"""
         SELECT metric, {_r('avg(value)', 'mean')}, {_r('median(value)', 'median')},
                {_r('stddev_samp(value)', 'std')}, {_r('min(value)', 'min')}, {_r('max(value)', 'max')},
@@ -457,6 +516,9 @@ ORACLES: dict[str, str] = {
               AND NOT EXISTS (SELECT 1 FROM pairs b WHERE b.year = a.year AND b.category = a.category
                               AND b.u = a.u AND b.v = a.v AND b.sim >= 0.2)) AS is_subset
         FROM (SELECT DISTINCT year, category FROM pairs WHERE sim >= 0.2 OR sim >= 0.5) k""", ["pairs"]),
+    "edge_subset_swapped": build("""
+        SELECT year, category, count(*) FILTER (WHERE sim < 0.5) = 0 AS is_subset
+        FROM pairs WHERE sim >= 0.2 GROUP BY 1, 2""", ["pairs"]),
     "containment_relation": build("SELECT year, category, t_from, t_to FROM nrel", ["nrel"]),
     "containment_relation_years": build("""
         SELECT s.category, s.t_from, s.t_to
@@ -470,24 +532,8 @@ ORACLES: dict[str, str] = {
         SELECT r.year, r.category, r.t_from, r.t_to, k.num_years
         FROM nred r JOIN (SELECT year, category, count(*) AS num_years FROM nred WHERE t_from = t_to GROUP BY 1, 2) k
           USING (year, category) WHERE r.t_from <> r.t_to""", ["nred"]),
-    "partial_order_check": build("""
-        SELECT *, reflexive AND antisymmetric AND transitive AS is_partial_order FROM (
-        SELECT year, category,
-          NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT year, category, step FROM nested) t
-                      WHERE t.year = k.year AND t.category = k.category
-                        AND NOT EXISTS (SELECT 1 FROM nrel r WHERE r.year = t.year AND r.category = t.category
-                                        AND r.t_from = t.step AND r.t_to = t.step)) AS reflexive,
-          NOT EXISTS (SELECT 1 FROM nrel a JOIN nrel b ON a.year = b.year AND a.category = b.category
-                        AND a.t_from = b.t_to AND a.t_to = b.t_from
-                      WHERE a.year = k.year AND a.category = k.category AND a.t_from < a.t_to
-                        AND (SELECT count(*) FROM nested x WHERE x.year = a.year AND x.category = a.category AND x.step = a.t_from)
-                         <> (SELECT count(*) FROM nested x WHERE x.year = a.year AND x.category = a.category AND x.step = a.t_to)
-                     ) AS antisymmetric,
-          NOT EXISTS (SELECT 1 FROM nrel a JOIN nrel b ON a.year = b.year AND a.category = b.category AND a.t_to = b.t_from
-                      WHERE a.year = k.year AND a.category = k.category
-                        AND NOT EXISTS (SELECT 1 FROM nrel c WHERE c.year = a.year AND c.category = a.category
-                                        AND c.t_from = a.t_from AND c.t_to = b.t_to)) AS transitive
-        FROM (SELECT DISTINCT year, category FROM nested) k)""", ["nested", "nrel"]),
+    "partial_order_check": build(PARTIAL_ORDER, ["nested", "nrel"]),
+    "partial_order_broken": build(PARTIAL_ORDER.replace("nrel", "nrel_broken"), ["nested", "nrel_broken"]),
     "network_evolution": build(f"SELECT year, category, nodes, edges, {_r('density', 'density')}, "
                                f"{_r('clustering', 'clustering')}, components, is_connected FROM evo", ["evo"]),
     "density_by_year": build(f"SELECT year, {_r('avg(density)', 'mean_density')} FROM evo GROUP BY 1", ["evo"]),

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricenet.operators.scoring import RANK_DIGITS
+from pricenet.operators.centrality import RANK_DIGITS
 
 
 def summary_counts(networks: DataFrame, cent: DataFrame, evolution: DataFrame) -> DataFrame:
@@ -30,34 +30,47 @@ def top5_by_year(year_scores: DataFrame, k: int = 5) -> DataFrame:
 
 
 def render_markdown(summary: DataFrame, top5: DataFrame, when: _dt.datetime | None = None) -> str:
-    """Markdown text of the report.
+    """The report as Markdown: one table of figures, one table of leading cities.
 
-    Only the one-row summary and the top-5 rows (k per year) reach the
+    Only the one-row summary and the leading rows (k per year) reach the
     driver; both are bounded by the report's definition.
     """
-    when = when or _dt.datetime.now()
-    s = summary.first()
-    lines = ["# Price Network Analysis Report\n", f"Generated: {when:%Y-%m-%d %H:%M:%S}\n", "=" * 80 + "\n\n"]
-    if s is not None:
-        lines += ["## Network Summary\n", f"- Total Networks: {s.num_networks}\n"]
-        lines += ["\n## Centrality Analysis\n",
-                  f"- Total City-Network Combinations: {s.num_centrality_rows}\n",
-                  f"- Unique Cities: {s.unique_cities}\n"]
-    rows = top5.orderBy("year", "rank").collect()
-    if rows:
-        lines.append("\n## Final Rankings\n")
-        year = None
-        for r in rows:
-            if r.year != year:
-                year = r.year
-                lines += [f"\n### Year {year}\n", "\nTop 5 Cities (Equal Weighting):\n"]
-            lines.append(f"{r.rank}. {r.city}: {r.score_equal:.3f}\n")
-    if s is not None and s.mean_density is not None:
-        lines += ["\n## Temporal Evolution\n",
-                  f"- Average Density: {s.mean_density:.3f}\n",
-                  f"- Average Clustering: {s.mean_clustering:.3f}\n"]
-    lines += ["\n" + "=" * 80 + "\n", "End of Report\n"]
-    return "".join(lines)
+    figures, leaders = summary.first(), top5.orderBy("year", "rank").collect()
+    made = (when or _dt.datetime.now()).isoformat(sep=" ", timespec="minutes")
+    parts = ["# Price similarity networks", f"Made {made} from {figures.num_networks} networks.",
+             "| figure | value |\n|---|---|\n" + "\n".join(f"| {name} | {value} |" for name, value in (
+                 ("networks", figures.num_networks), ("cities", figures.unique_cities),
+                 ("city rows over all networks", figures.num_centrality_rows),
+                 ("mean density", _decimal(figures.mean_density)),
+                 ("mean clustering", _decimal(figures.mean_clustering))))]
+    years = sorted({r.year for r in leaders})
+    if years:
+        places = max(r.rank for r in leaders)
+        cells = {(r.year, r.rank): f"{r.city} ({_decimal(r.score_equal)})" for r in leaders}
+        head = "| year |" + "".join(f" {k} |" for k in range(1, places + 1)) + "\n|---|" + "---|" * places
+        rows = [f"| {y} |" + "".join(f" {cells.get((y, k), '')} |" for k in range(1, places + 1)) for y in years]
+        parts += ["## Leading cities by equal weights", "\n".join([head, *rows])]
+    return "\n\n".join(parts) + "\n"
+
+
+def _decimal(value: float | None) -> str:
+    return "none" if value is None else f"{value:.4f}"
+
+
+REPORT_FILE = "analysis_report.md"
+
+
+def save_report(spark: SparkSession, text: str, output_dir: str) -> str:
+    """Write the report beside the tables, through the file system of the output path."""
+    path = f"{output_dir.rstrip('/')}/{REPORT_FILE}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return path
 
 
 # Output names of the four result tables.
@@ -68,16 +81,16 @@ def save_results(results: Mapping[str, DataFrame | None], output_dir: str, fmt:
                  partition_by_year: bool = True) -> list[str]:
     """Write every present result table under ``output_dir``.
 
-    Tables with a ``year`` column are partitioned by it, so later reads of
-    one year prune the others.  Overwrite is dynamic per partition, so a
-    refresh that rewrites some years leaves the rest in place.
+    Tables with a ``year`` column are partitioned by it, so later reads of one
+    year prune the others.  A full run replaces whole tables: years that an
+    earlier run wrote do not stay among its results.
     """
     written = []
     for name in RESULT_TABLES:
         df = results.get(name)
         if df is None:
             continue
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by_year and "year" in df.columns:
             w = w.partitionBy("year")
         path = f"{output_dir.rstrip('/')}/{name}"

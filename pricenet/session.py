@@ -6,8 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Groups of the key (year, category) always travel together.
 GROUP = ["year", "category"]
@@ -110,16 +109,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def cut_lineage_counted(df: DataFrame, count: bool = True) -> tuple[DataFrame, int | None]:
     """:func:`cut_lineage` that also returns the number of rows written.
 
-    The count is observed while the write job runs (no second job).
+    The count is read from the footers of the written files.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/pricenet-tables/{run_folder(spark)}/{uuid.uuid4().hex}"
-    rows = None
-    if count:
-        obs = Observation("rows")
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-        rows = int(obs.get["n"])
-    else:
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), rows
+    df.write.mode("overwrite").parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    return written, written.count() if count else None
+
+
+def drop_run_tables(spark: SparkSession) -> None:
+    """Delete the tables that :func:`cut_lineage` wrote for this application.
+
+    For the end of a job: DataFrames built on those tables cannot be read
+    afterwards.
+    """
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricenet-tables/{run_folder(spark)}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -27,23 +27,25 @@ def read_manifest(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Read manifest files and combine them by column name.
 
     A file may carry only its own layout's columns; missing ones are null.
-    ``Timestamp`` becomes a timestamp (``yyyy-MM-dd HH:mm:ss``).
+    Header lines are read in one job, and files with the same header are one
+    read, however many there are.  ``Timestamp`` becomes a timestamp
+    (``yyyy-MM-dd HH:mm:ss``).
     """
-    frames = []
-    for p in paths:
-        df = spark.read.option("header", "true").option("inferSchema", "false").csv(p)
-        cols = [F.col(c).cast(MANIFEST_SCHEMA[c].dataType).alias(c) for c in df.columns if c in MANIFEST_COLUMNS]
-        frames.append(df.select(*cols))
-    if not frames:
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    for c in MANIFEST_COLUMNS:
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast(MANIFEST_SCHEMA[c].dataType))
-    return out.select(*MANIFEST_COLUMNS).withColumn(
-        "Timestamp", F.to_timestamp("Timestamp", "yyyy-MM-dd HH:mm:ss"))
+    paths = list(paths)
+    layouts: dict[str, list[str]] = {}
+    if paths:
+        # The first line of each file: its row with the smallest place.
+        lines = spark.read.text(paths).select(
+            F.col("_metadata.file_path").alias("path"), "value",
+            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"))
+        for r in lines.groupBy("path").agg(F.min_by("value", "place").alias("header")).collect():
+            layouts.setdefault(r.header, []).append(r.path)
+    out = spark.createDataFrame([], MANIFEST_SCHEMA)
+    for header in sorted(layouts):
+        df = spark.read.option("header", "true").option("inferSchema", "false").csv(sorted(layouts[header]))
+        out = out.unionByName(df.select(*[F.col(c).cast(MANIFEST_SCHEMA[c].dataType).alias(c)
+                                          for c in df.columns if c in MANIFEST_COLUMNS]), allowMissingColumns=True)
+    return out.withColumn("Timestamp", F.to_timestamp("Timestamp", "yyyy-MM-dd HH:mm:ss"))
 
 
 def status_rollup(manifest: DataFrame) -> DataFrame:

@@ -3,17 +3,19 @@
 The analysis input is a long table of price observations::
 
     city STRING, year INT, category STRING, month_year STRING,
-    item_description STRING, normalized_price DOUBLE [, ordinal BIGINT]
+    item_description STRING, normalized_price DOUBLE [, ordinal]
 
-``ordinal`` records file order; "first value per (city, feature)" is
-defined by it.  Files are read with an explicit schema, never inferred.
+``ordinal`` (any orderable type) records file order; "first value per (city,
+feature)" is defined by it.  Files are read with an explicit schema, never
+inferred.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,12 +47,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Row numbers within a partition sit in the low bits of a monotonically increasing id.
+_ROW_BITS = (1 << 33) - 1
+
+
+def file_order() -> Column:
+    """Order of a row in a file source: file path, start of its split, row within the split.
+
+    Spark deals splits to tasks by size, so a row id alone does not follow the
+    files; within one split it does.
+    """
+    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                    F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("row"))
+
+
 def observations(df: DataFrame, ordinal: bool = True) -> DataFrame:
     """Validate the required columns and bring them to internal names.
 
-    Accepts either the reference's column names or the internal ones.  With
-    ``ordinal`` a file-order id is attached (monotonically increasing within
-    and across partitions of one read), defining "first" for duplicates.
+    Accepts either the capitalised column names or the internal ones; other
+    columns are left out.  With ``ordinal`` rows without one get their order:
+    that of the files for a file source, else that of the partitions.
     """
     lower = {c.lower(): c for c in df.columns}
     if all(k.lower() in lower for k in _RENAME.values()):
@@ -58,18 +74,22 @@ def observations(df: DataFrame, ordinal: bool = True) -> DataFrame:
     else:
         require_columns(df, OBSERVATION_COLUMNS)
         src = {v: lower[k.lower()] for k, v in _RENAME.items()}
-    out = df.select(
-        F.col(src["city"]).cast("string").alias("city"),
-        F.col(src["year"]).cast("int").alias("year"),
-        F.col(src["category"]).cast("string").alias("category"),
-        F.col(src["month_year"]).cast("string").alias("month_year"),
-        F.col(src["item_description"]).cast("string").alias("item_description"),
-        F.col(src["normalized_price"]).cast("double").alias("normalized_price"),
-        *([F.col(lower["ordinal"]).cast("long").alias("ordinal")] if "ordinal" in lower else []),
-    )
-    if ordinal and "ordinal" not in out.columns:
-        out = out.withColumn("ordinal", F.monotonically_increasing_id())
-    return out
+    out = [F.col(src[name]).cast(kind).alias(name) for name, kind in (
+        ("city", "string"), ("year", "int"), ("category", "string"), ("month_year", "string"),
+        ("item_description", "string"), ("normalized_price", "double"))]
+    if "ordinal" in lower:
+        out.append(F.col(lower["ordinal"]).alias("ordinal"))
+    elif ordinal:
+        out.append((file_order() if _from_files(df) else F.monotonically_increasing_id()).alias("ordinal"))
+    return df.select(*out)
+
+
+def _from_files(df: DataFrame) -> bool:
+    """Whether rows still know the file they come from."""
+    try:
+        return bool(df.select("_metadata.file_path").columns)
+    except AnalysisException:
+        return False
 
 
 def read_observations(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -133,13 +153,14 @@ def zscore(df: DataFrame, value_col: str = "price", by: Sequence[str] = ("catego
     """Z = (X - mean) / std per (category, item) over all cities and months.
 
     Sample standard deviation; a null or zero std gives 0.0.  The statistics
-    are a grouped aggregate (map-side partial aggregation, one small row per
-    item) joined back, not a window: a window would pull an entire hot item
-    into one task.
+    are a grouped aggregate (one small row per item, aggregated map-side),
+    written and joined back.  Written, their real size is known: the planner
+    broadcasts them when small, and otherwise both join sides are plain
+    exchanges, in which a hot item can be split.
     """
     by = list(by)
-    stats = df.groupBy(*by).agg(
-        F.avg(value_col).alias("_mu"), F.stddev_samp(value_col).alias("_sd"))
+    stats = cut_lineage(df.groupBy(*by).agg(
+        F.avg(value_col).alias("_mu"), F.stddev_samp(value_col).alias("_sd")))
     z = F.when(F.col("_sd").isNull() | (F.col("_sd") == 0), F.lit(0.0)).otherwise(
         (F.col(value_col) - F.col("_mu")) / F.col("_sd"))
     return (df.join(stats, by, "inner")
@@ -149,17 +170,17 @@ def zscore(df: DataFrame, value_col: str = "price", by: Sequence[str] = ("catego
 
 # ------------------------------------------------------- driver fixture
 
-def raw_price_panel(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> DataFrame:
-    """Price panel from the TPC-H-like tables (P2 applied to order dates).
+def line_prices(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> DataFrame:
+    """One row per order line of the TPC-H-like tables (P2 applied to order dates).
 
     city = nation name of the customer, category = part type, item =
-    ``item_col`` of the part, price = mean unit price per (city, month, item).
-    Joins are written dimension-last so the lineitem stream is shuffled only
-    on its join keys; the final grouping runs map-side partial aggregation
-    and collapses to at most cities x months x items rows.
+    ``item_col`` of the part, ``unit_price`` of the line, ``returned`` lines
+    marked, ``ordinal`` = place of the line (line numbers repeat within orders
+    of the test tables, so part and price complete it).  Joins are written
+    dimension-last so the lineitem stream is shuffled only on its join keys.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey",
+        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag",
         safe_div("l_extendedprice", "l_quantity").alias("unit_price"))
     orders = time_features(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
@@ -174,6 +195,18 @@ def raw_price_panel(spark: SparkSession, sf_dir: str, item_col: str = "p_type")
                   .select("o_orderkey", "city", "year", "month_year"))
     return (li.join(order_city, li.l_orderkey == order_city.o_orderkey)
             .join(part, li.l_partkey == part.p_partkey)
+            .select("city", "year", "category", "month_year", "item_description", "unit_price",
+                    (F.col("l_returnflag") == "R").alias("returned"),
+                    F.struct("l_orderkey", "l_linenumber", "l_partkey", "unit_price").alias("ordinal")))
+
+
+def raw_price_panel(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> DataFrame:
+    """Price panel: mean unit price per (city, category, month, item).
+
+    The grouping runs map-side partial aggregation and collapses to at most
+    cities x months x items rows.
+    """
+    return (line_prices(spark, sf_dir, item_col)
             .groupBy("city", "year", "category", "month_year", "item_description")
             .agg(F.avg("unit_price").alias("price")))
 

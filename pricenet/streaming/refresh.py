@@ -7,25 +7,30 @@ batch is handled in ``foreachBatch``:
    a replayed batch overwrites its own folder — idempotent);
 2. z-scores depend on the whole history of a (category, item), so every
    category present in the batch is recomputed over all its years;
-3. network, centrality and score tables are rewritten for those categories
-   only (dynamic partition overwrite, partitioned by category);
-4. the yearly roll-up is rebuilt for every year those categories cover.
-
-Categories absent from the batch keep their files untouched.  The set of
-touched categories never leaves the cluster: it is a semi-join key.
+3. network, score and evolution tables are replaced for those categories
+   only (partitioned by category);
+4. the yearly roll-up is replaced for every year those categories have data
+   in, also where their networks lost all edges.
+
+A replaced partition without new rows (a category or year whose last edge is
+gone) is removed.  Categories absent from the batch keep their files
+untouched.  Where a price is revised, the first value in the order of batches
+and files stays, as in one read of all files.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pricenet.operators import scoring as W
 from pricenet.plans.analysis import Analysis
+from pricenet.session import cut_lineage
 from pricenet.sources.panel import zscore
 
 PRICE_SCHEMA = T.StructType([
@@ -37,15 +42,28 @@ PRICE_SCHEMA = T.StructType([
     T.StructField("price", T.DoubleType()),
 ])
 
+# The price history also keeps where each row came from; the batch is the folder.
+HISTORY_SCHEMA = T.StructType([*PRICE_SCHEMA.fields, T.StructField("place", T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("start", T.LongType()), T.StructField("row", T.LongType())])),
+    T.StructField("batch_id", T.LongType())])
+
 
-def _read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where nothing has been written; other errors are raised."""
     try:
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(path)
-    except Exception:  # nothing written yet
-        return None
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _place(batch: DataFrame) -> Column:
+    """Where a row stands in its batch: file and split, if the stream told them, and row within the split."""
+    told = "_path" in batch.columns
+    return F.struct((F.col("_path") if told else F.lit("")).alias("path"),
+                    (F.col("_start") if told else F.lit(0).cast("long")).alias("start"),
+                    F.monotonically_increasing_id().alias("row"))
 
 
 class Refresher:
@@ -61,54 +79,58 @@ class Refresher:
     def history_path(self) -> str:
         return f"{self.out}/history"
 
-    def _write_by(self, df: DataFrame, name: str, col: str) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(col).parquet(f"{self.out}/{name}"))
+    def _replace(self, df: DataFrame, name: str, col: str, touched: DataFrame) -> None:
+        """Replace the partitions ``col`` in ``touched`` of a table by the rows of ``df``.
+
+        Partitions with rows are overwritten; a touched one without rows is
+        deleted (its name is one value of the batch's categories or years).
+        """
+        spark, path = df.sparkSession, f"{self.out}/{name}"
+        df = cut_lineage(df)
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
+        emptied = touched.select(col).distinct().join(df.select(col).distinct(), col, "left_anti")
+        jvm = spark.sparkContext._jvm
+        for row in emptied.toLocalIterator():
+            value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else \
+                jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(row[0]))
+            stale = jvm.org.apache.hadoop.fs.Path(f"{path}/{col}={value}")
+            stale.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(stale, True)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        (batch.select(*PRICE_SCHEMA.fieldNames()).write.mode("overwrite")
+        (batch.select(*PRICE_SCHEMA.fieldNames(), _place(batch).alias("place")).write.mode("overwrite")
          .parquet(f"{self.history_path()}/batch_id={batch_id}"))
-        touched = batch.select("category").distinct()
-        history = spark.read.schema(PRICE_SCHEMA).parquet(self.history_path())
+        history = spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path())
+        touched = cut_lineage(history.where(F.col("batch_id") == batch_id).select("category").distinct())
         prices = history.join(touched, "category", "left_semi")
-        obs = zscore(prices).select("city", "year", "category", "month_year",
-                                    "item_description", "normalized_price")
+        obs = zscore(prices).select("city", "year", "category", "month_year", "item_description", "normalized_price",
+                                    F.struct("batch_id", "place").alias("ordinal"))
         a = Analysis(obs, self.cities, tau=self.tau, category_weights=self.category_weights)
-        self._write_by(a.metadata, "network_metadata", "category")
-        self._write_by(a.scores, "weighted_scores", "category")
-        self._write_by(a.evolution, "network_evolution", "category")
-        # New history changes the z-scores of a touched category in every
-        # year, so every year of the recomputed networks gets a new roll-up
-        # (over all categories, touched or not).
+        metadata = cut_lineage(a.metadata)
+        self._replace(metadata, "network_metadata", "category", touched)
+        self._replace(a.scores, "weighted_scores", "category", touched)
+        self._replace(a.evolution, "network_evolution", "category", touched)
+        # New history changes the z-scores of a touched category in every year
+        # it has data in: each of these years gets a new roll-up over all
+        # categories, touched or not.
+        years = metadata.select("year").distinct()
         scores = self.current_scores(spark)
-        if scores is not None:
-            years = a.networks.select("year").distinct()
-            yearly = W.scores_by_year(scores.join(years, "year", "left_semi"), sort=False)
-            self._write_by(yearly, "final_rankings", "year")
+        if scores is None:
+            scores = a.scores
+        yearly = W.scores_by_year(scores.join(years, "year", "left_semi"), sort=False)
+        self._replace(yearly, "final_rankings", "year", years)
 
     def current_scores(self, spark: SparkSession) -> DataFrame | None:
-        """Scores of networks that currently have edges.
-
-        Dynamic partition overwrite cannot empty a partition: if every
-        network of a touched category lost its edges, that category's old
-        score files stay.  The metadata table is rewritten for every touched
-        category (zero-edge networks included), so a semi-join on networks
-        with edges leaves exactly the current scores.
-        """
-        scores = _read_or_none(spark, f"{self.out}/weighted_scores")
-        meta = _read_or_none(spark, f"{self.out}/network_metadata")
-        if scores is None or meta is None:
-            return scores
-        live = meta.where(F.col("num_edges") > 0).select("year", "category")
-        return scores.join(live, ["year", "category"], "left_semi")
+        """Scores of all networks that currently have edges; None before there is any."""
+        return _read_or_none(spark, f"{self.out}/weighted_scores")
 
     def start(self, spark: SparkSession, source_dir: str, checkpoint_location: str,
               available_now: bool = True, fmt: str = "parquet") -> StreamingQuery:
         stream = spark.readStream.schema(PRICE_SCHEMA).format(fmt)
         if fmt == "csv":
             stream = stream.option("header", "true")
-        src = stream.load(source_dir)
+        src = stream.load(source_dir).select("*", F.col("_metadata.file_path").alias("_path"),
+                                             F.col("_metadata.file_block_start").alias("_start"))
         writer = (src.writeStream.foreachBatch(self.process)
                   .option("checkpointLocation", checkpoint_location))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")

@@ -1,5 +1,6 @@
 """Closed-form centralities (C0-C10) on small graphs."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,13 +16,13 @@ PATH4 = (["p1", "p2", "p3", "p4"], [("p1", "p2"), ("p2", "p3"), ("p3", "p4")])
 TWO_EDGES = (["a", "b", "c", "d"], [("a", "b"), ("c", "d")])
 
 
-def _table(spark, graphs, n, group_edge_limit=E.DEFAULT_GROUP_EDGE_LIMIT):
+def _table(spark, graphs, n):
     nodes, edges, meta = graph_frames(spark, graphs)
     deg = C.degree_centrality(N.degree_table(nodes, edges), n)
     sp = P.shortest_paths(nodes, edges)
     clo = P.closeness(nodes, sp, n)
     btw = P.betweenness(nodes, edges, sp, n)
-    eig = E.eigenvector(nodes, edges, meta, n, group_edge_limit=group_edge_limit)
+    eig = E.eigenvector(nodes, edges, meta)
     return C.centrality_table(nodes, deg, clo, btw, eig)
 
 
@@ -65,23 +66,37 @@ def test_batch_two_networks(spark):
     assert df.count() == 10
 
 
-def test_eigen_paths_agree(spark):
-    # networks converging after different numbers of rounds, one DataFrame loop
-    graphs = {(2024, "P"): PATH4, (2024, "T"): TWO_EDGES}
+def _power(cities, links, max_iter=1000, tol=1e-6):
+    """The power method in NumPy, normalised in every round."""
+    at, n = {c: i for i, c in enumerate(cities)}, len(cities)
+    m = np.eye(n)
+    for u, v in links:
+        m[at[u], at[v]] = m[at[v], at[u]] = 1
+    x = np.full(n, 1 / n)
+    for _ in range(max_iter):
+        y = m @ x
+        y /= np.linalg.norm(y)
+        if np.abs(y - x).sum() < n * tol:
+            return dict(zip(cities, y))
+        x = y
+    return dict.fromkeys(cities, 0.0)
+
+
+def test_eigen_rounds_match_numpy(spark):
+    """Networks that converge after different numbers of rounds."""
+    graphs = {(2024, "P"): PATH4, (2024, "T"): TWO_EDGES, (2023, "S"): (list("wxyz"), [("w", "x"), ("w", "y"), ("w", "z"), ("y", "z")])}
     nodes, edges, meta = graph_frames(spark, graphs)
-    key = lambda r: (r.category, r.city)
-    a = {key(r): r.e_i for r in E.eigenvector(nodes, edges, meta, 4).collect()}
-    b = {key(r): r.e_i for r in E.eigenvector(nodes, edges, meta, 4, group_edge_limit=0).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k] == pytest.approx(b[k], abs=1e-9)
+    got = {(r.category, r.city): r.e_i for r in E.eigenvector(nodes, edges, meta).collect()}
+    want = {(c, city): x for (_, c), g in graphs.items() for city, x in _power(*g).items()}
+    assert got == pytest.approx(want, abs=1e-9)
 
 
-def test_eigen_nonconvergence_gives_zeros():
-    import numpy as np
-    # two equal components that never settle within 3 rounds -> zeros
-    x = E._power_iteration(4, np.array([0, 1]), np.array([1, 0]), max_iter=1, tol=1e-30)
-    assert (x == 0).all()
+@pytest.mark.parametrize("cap", [1, 16, 20])
+def test_eigen_nonconvergence_gives_zeros(spark, cap):
+    nodes, edges, meta = graph_frames(spark, {(2024, "P"): PATH4, (2024, "T"): TWO_EDGES})
+    got = {(r.category, r.city): r.e_i for r in E.eigenvector(nodes, edges, meta, max_iter=cap).collect()}
+    want = {(c, city): x for c, g in (("P", PATH4), ("T", TWO_EDGES)) for city, x in _power(*g, max_iter=cap).items()}
+    assert got == pytest.approx(want, abs=1e-9)
 
 
 def test_minmax_top_and_summary(spark):
@@ -118,3 +133,39 @@ def test_exact_median_matches_pandas(spark):
     assert got.keys() == exp.keys()
     for k in exp:
         assert got[k] == pytest.approx(exp[k], abs=1e-12)
+
+
+def _largest_partition(df):
+    """Rows of the fullest partition against the mean of those with rows."""
+    counts = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / (sum(counts) / len(counts))
+
+
+def test_equal_values_do_not_pile_up(spark, monkeypatch):
+    """90% equal values: the tables behind median and rank stay even."""
+    from pricenet.functions import quantiles as Q
+
+    written = []
+    monkeypatch.setattr(Q, "_ranged", lambda *a, real=Q._ranged: written.append(real(*a)) or written[-1])
+    df = spark.range(20_000).select(F.lit("k").alias("k"), F.col("id"),
+                                    F.when(F.col("id") % 10 == 0, F.col("id") / 7.0).otherwise(0.0).alias("v"))
+    assert Q.exact_median(df, "k", "v", partitions=8).first().median == 0.0
+    ranked = Q.distributed_rank(df, ["k"], [F.col("v").desc(), F.col("id").asc()], partitions=8)
+    want = [r.id for r in df.orderBy(F.col("v").desc(), "id").collect()]
+    assert [r.id for r in ranked.orderBy("rank").collect()] == want
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 20_001))
+    assert all(_largest_partition(w) < 2 for w in written) and len(written) == 2
+
+
+def test_components_without_paths(spark):
+    chain = [f"n{i:02d}" for i in range(40)]
+    graphs = {(2024, "chain"): (chain, list(zip(chain, chain[1:]))),
+              (2024, "parts"): (chain, [("n00", "n39"), ("n01", "n02"), ("n02", "n03"), ("n38", "n01")])}
+    from pricenet.operators import components as K
+    nodes, edges, _ = graph_frames(spark, graphs)
+    comp = K.components(nodes, edges)
+    assert {r.component for r in comp.where("category = 'chain'").collect()} == {"n00"}
+    got = {r.city: r.component for r in comp.where("category = 'parts'").collect()}
+    assert got["n39"] == "n00" and {got[c] for c in ("n01", "n02", "n03", "n38")} == {"n01"} and got["n10"] == "n10"
+    counts = {r.category: (r.num_components, r.is_connected) for r in K.component_counts(comp).collect()}
+    assert counts == {"chain": (1, True), "parts": (36, False)}

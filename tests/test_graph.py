@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricenet.operators import graph as N
+from pricenet.operators import components as K
 from pricenet.operators import paths as P
 
 CITIES = ["Islamabad", "Karachi", "Lahore", "Quetta"]
@@ -44,11 +45,11 @@ def test_threshold_edges_and_stats(spark, tau, expected, components, connected):
     assert meta.density == pytest.approx(len(expected) / 6)
     nodes = N.network_nodes(groups, CITIES)
     sp = P.shortest_paths(nodes, edges)
-    cc = P.component_counts(P.components(nodes, sp)).first()
+    cc = K.component_counts(K.components(nodes, edges)).first()
     assert cc.num_components == components and cc.is_connected == connected
     clus = N.average_clustering(N.local_clustering(nodes, edges)).first()
     assert clus.clustering == 0.0
-    pm = P.path_metrics(sp, P.component_counts(P.components(nodes, sp)), len(CITIES)).first()
+    pm = P.path_metrics(sp, K.component_counts(K.components(nodes, edges)), len(CITIES)).first()
     if connected:
         assert pm.diameter == 2
         assert pm.avg_path_length == pytest.approx(16 / 12)

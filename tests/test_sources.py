@@ -6,14 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricenet.plans import job
-from pricenet.plans.report import RESULT_TABLES, save_results
+from pricenet.operators import vectors as V
+from pricenet.plans.report import REPORT_FILE, RESULT_TABLES, save_results
 from pricenet.sources import manifest, panel
 from tests.conftest import SF_SMALL
 
 
 def test_required_columns(spark):
     df = spark.createDataFrame([("A", 2024)], "City string, Year int")
-    with pytest.raises(ValueError, match="Category"):
+    with pytest.raises(ValueError, match="category"):
         panel.observations(df)
 
 
@@ -75,20 +76,57 @@ def test_manifest_union_and_rollup(spark, tmpdir_path):
     assert roll["Success"] == (1, None)
 
 
+def test_files_keep_their_order(spark, tmpdir_path):
+    """The first file's value stays, however small the file is."""
+    header = "City,Year,Category,Month_Year,Item_Description,Normalized_Price\n"
+    with open(os.path.join(tmpdir_path, "a.csv"), "w") as f:
+        f.write(header + "A,2024,Food,2024-01,rice,1.0\n")
+    with open(os.path.join(tmpdir_path, "b.csv"), "w") as f:
+        f.write(header + "A,2024,Food,2024-01,rice,2.0\n" * 3000 + "A,2024,Food,2024-02,rice,7.0\nA,2024,Food,2024-02,rice,8.0\n")
+    obs = panel.read_observations(spark, tmpdir_path, "csv")
+    got = {r.feature: r.value for r in V.features(obs).collect()}
+    assert got == {"2024-01_rice": 1.0, "2024-02_rice": 7.0}
+
+
+def test_repeated_keys_need_an_order(spark):
+    rows = [("A", 2024, "Food", "2024-01", "rice", 1.0), ("A", 2024, "Food", "2024-01", "rice", 2.0)]
+    obs = spark.createDataFrame(rows, "city string, year int, category string, month_year string, "
+                                      "item_description string, normalized_price double")
+    with pytest.raises(Exception, match="without an ordinal"):
+        V.features(obs).collect()
+
+
 def test_full_job_and_sink(spark, tmpdir_path):
     obs = panel.fixture_observations(spark, SF_SMALL)
     roster = panel.fixture_roster(spark, SF_SMALL)
+    stale = spark.createDataFrame([(1900, "x")], "year int, city string")
+    save_results({"centrality_scores": stale}, tmpdir_path)
     res = job.run_full_analysis(obs, roster, tau=0.2, output_dir=tmpdir_path,
                                 categories=["ECONOMY", "PROMO"])
+    assert res["failed"] == []
     for name in RESULT_TABLES:
         assert res[name] is not None
         assert os.path.isdir(os.path.join(tmpdir_path, name))
     back = spark.read.parquet(os.path.join(tmpdir_path, "centrality_scores"))
     assert back.count() == res["centrality_scores"].count()
-    assert "# Price Network Analysis Report" in res["report"] and "Top 5 Cities" in res["report"]
+    assert back.where("year = 1900").count() == 0
+    with open(os.path.join(tmpdir_path, REPORT_FILE)) as f:
+        assert f.read() == res["report"]
+    assert res["report"].startswith("# Price similarity networks") and "| 1996 |" in res["report"]
+
+
+def test_failed_steps_are_named(spark, tmpdir_path, monkeypatch):
+    from pricenet.plans.analysis import Analysis
+
+    def broken(self):
+        raise RuntimeError("no scores today")
+    monkeypatch.setattr(Analysis, "scores", property(broken))
+    obs = panel.fixture_observations(spark, SF_SMALL)
+    res = job.run_full_analysis(obs, panel.fixture_roster(spark, SF_SMALL), tau=0.2, categories=["ECONOMY"])
+    assert res["failed"] == ["weighted_scores"] and res["final_rankings"] is None and res["network_evolution"] is not None
 
 
-def test_cli_main(spark, tmpdir_path):
+def test_cli_main(spark, tmpdir_path, monkeypatch):
     obs = panel.fixture_observations(spark, SF_SMALL).select(
         F.col("city").alias("City"), F.col("year").alias("Year"), F.col("category").alias("Category"),
         F.col("month_year").alias("Month_Year"), F.col("item_description").alias("Item_Description"),
@@ -96,8 +134,27 @@ def test_cli_main(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "obs")
     obs.write.parquet(src)
     cities = ",".join(panel.fixture_roster(spark, SF_SMALL))
+    monkeypatch.setattr(job, "drop_run_tables", lambda spark: None)  # other tests share this session's tables
     out = os.path.join(tmpdir_path, "out")
-    assert job.main(["--input", src, "--cities", cities, "--threshold", "0.2", "--output", out,
-                     "--categories", "ECONOMY", "--years", "1996", "1997", "--quick"]) == 0
+    plain = ["--input", src, "--cities", cities, "--threshold", "0.2", "--categories", "ECONOMY"]
+    assert job.main([*plain, "--output", out, "--years", "1997", "1996", "--quick"]) == 0
     ranks = spark.read.parquet(os.path.join(out, "final_rankings"))
-    assert {r.year for r in ranks.select("year").distinct().collect()} == {1996}
+    assert {r.year for r in ranks.select("year").distinct().collect()} == {1997}
+    # Without years the earliest one of the input is taken.
+    assert job.main([*plain, "--output", out, "--quick", "--output-format", "csv"]) == 0
+    first = obs.agg(F.min("Year")).first()[0]
+    ranks = spark.read.option("header", "true").csv(os.path.join(out, "final_rankings"))
+    assert {int(r.year) for r in ranks.select("year").distinct().collect()} == {first}
+    monkeypatch.setattr(job, "save_report", lambda *a: 1 / 0)
+    assert job.main([*plain, "--output", out, "--quick"]) == 1
+
+
+def test_run_tables_are_dropped(spark, tmpdir_path, monkeypatch):
+    from pricenet import session
+
+    monkeypatch.setattr(session, "run_folder", lambda spark: "dropped-run")
+    session.cut_lineage(spark.range(3))
+    folder = os.path.join(session.ensure_checkpoint_dir(spark).removeprefix("file:"), "pricenet-tables", "dropped-run")
+    assert os.path.isdir(folder)
+    session.drop_run_tables(spark)
+    assert not os.path.exists(folder)

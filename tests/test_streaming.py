@@ -2,11 +2,13 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricenet.operators import scoring as W
 from pricenet.plans.analysis import Analysis
 from pricenet.sources import panel
+from pricenet.streaming import refresh
 from pricenet.streaming.refresh import Refresher
 from tests.conftest import SF_SMALL
 
@@ -42,3 +44,48 @@ def test_refresh_matches_full_recompute(spark, tmpdir_path):
     ya = {(x.year, x.city): round(x.score_equal, 9) for x in years.collect()}
     yb = {(x.year, x.city): round(x.score_equal, 9) for x in expected.collect()}
     assert ya == yb
+
+
+def test_refresh_follows_lost_edges(spark, tmpdir_path):
+    """A year and a whole category lose all their edges: every table on disk equals a full recompute."""
+    src, out, ck = (os.path.join(tmpdir_path, x) for x in ("incoming", "out", "ck"))
+    month = lambda y, m: f"{y}-{m:02d}"
+    # Prices far apart once the third batch moves the means.
+    first = [(c, y, cat, month(y, m), "rice", p) for cat in ("Food", "Fuel x/y") for y in (2020, 2021)
+             for m, p in ((1, 10.0), (2, 12.0)) for c in "AB"]
+    second = [("A", 2020, "Food", "2020-01", "rice", 99.0)]  # a revised price: the first one stays
+    third = [(c, 2020, cat, month(2020, 3 + k), "rice", 11.0 + s * (400.0 + k)) for cat in ("Food", "Fuel x/y")
+             for c, s in (("A", 1), ("B", -1)) for k in range(8)]
+    third += [(c, 2021, "Fuel x/y", month(2021, 3 + k), "rice", 11.0 + s * (400.0 + k))
+              for c, s in (("A", 1), ("B", -1)) for k in range(8)]
+    schema = "city string, year int, category string, month_year string, item_description string, price double"
+    r = Refresher(["A", "B"], 0.5, out)
+    every = []
+    for k, rows in enumerate((first, second + third)):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        r.start(spark, src, ck).awaitTermination()
+        every += [(*x, k) for x in rows]
+        if not k:
+            assert {(x.category, x.year) for x in r.current_scores(spark).collect()} == {
+                (c, y) for c in ("Food", "Fuel x/y") for y in (2020, 2021)}
+    obs = panel.zscore(spark.createDataFrame(every, schema + ", ordinal int"))
+    full = Analysis(obs, ["A", "B"], tau=0.5)
+    want = {"network_metadata": full.metadata, "weighted_scores": full.scores, "network_evolution": full.evolution,
+            "final_rankings": W.scores_by_year(full.scores, sort=False)}
+    for name, table in want.items():
+        got = refresh._read_or_none(spark, os.path.join(out, name))
+        rows_of = lambda df: sorted(str([round(v, 9) if isinstance(v, float) else v for v in x])
+                                    for x in df.select(*table.columns).collect())
+        assert (rows_of(got) if got is not None else []) == rows_of(table), name
+    left = {(x.category, x.year) for x in r.current_scores(spark).collect()}
+    assert left == {("Food", 2021)}
+
+
+def test_unreadable_table_is_an_error(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    assert refresh._read_or_none(spark, path) is None
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        refresh._read_or_none(spark, path).count()
