@@ -1,13 +1,17 @@
 """Quality classifier by compression: a text that a dictionary of good documents
 compresses better than one of bad documents reads like the good ones.
 
-Two zstandard dictionaries are trained, on labelled good and labelled bad
-text.  A text is compressed in independent blocks with each, so long texts
+Two zstandard dictionaries are built, of labelled good and labelled bad text.
+Each holds an even share of all its documents, so rare kinds of text are in it
+as well.  A text is compressed in independent blocks with each, so long texts
 cannot outgrow their dictionary.  The difference of the two sizes per byte is
-calibrated into a probability by logistic regression on labelled rows that the
-dictionaries have not seen, weighted to the classes' true shares.  A term for
-shortness and its product with the difference let the calibration trust the
-coarse differences of short texts less.
+calibrated into a probability by logistic regression.  A term for shortness and
+its product with the difference let the calibration trust the coarse
+differences of short texts less.
+
+The calibration learns from every labelled row of the sample: the rows are cut
+into ``FOLDS`` parts, and each part is compressed with dictionaries of the
+other parts only.  The dictionaries that score hold all parts.
 
 Labels are learned from a bounded sample (``PER_CLASS`` rows of each class of
 at most ``FIT_CHARS`` characters, in the order of a hash of their id).  Scores
@@ -33,11 +37,11 @@ from .columns import id_and_text
 # Bounds of the labelled sample: rows of each class, characters of each row.
 PER_CLASS = 2500
 FIT_CHARS = 20_000
-# Share of the sample that trains the dictionaries; the rest calibrates.
-DICTIONARY_SHARE = 0.6
-DICTIONARY_BYTES = 196_608
+# Parts of the sample that are calibrated on dictionaries of the others.
+FOLDS = 5
+DICTIONARY_BYTES = 2_097_152
 BLOCK = 1024
-LEVEL = 3
+LEVEL = 7
 THRESHOLD = 0.7
 SHORT_BYTES = 64.0
 
@@ -51,12 +55,13 @@ def blocks(text: bytes) -> list[bytes]:
     return [text[i:i + BLOCK] for i in range(0, len(text), BLOCK)]
 
 
-def train_dictionary(texts: list[bytes]) -> bytes:
-    """A zstandard dictionary; with too little text to train on, the text itself."""
-    samples = [b for t in texts for b in blocks(t)]
-    if sum(map(len, samples)) > 10 * DICTIONARY_BYTES:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
-    return b"".join(samples)[-DICTIONARY_BYTES:]
+def build_dictionary(texts: list[bytes]) -> bytes:
+    """The starts of all texts, up to one length that lets them fill the dictionary."""
+    left, share = DICTIONARY_BYTES, 0
+    for waiting, length in zip(range(len(texts), 0, -1), sorted(map(len, texts))):
+        share = min(length, left // waiting)
+        left -= share
+    return b"".join(t[:share] for t in texts)
 
 
 @dataclass
@@ -71,15 +76,18 @@ class Model:
         for content in (self.good, self.bad):
             options = {"level": LEVEL, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
             if content:
-                trained = content[:4] == b"\x37\xa4\x30\xec"
-                shared = zstandard.ZstdCompressionDict(content, dict_type=(
-                    zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT))
+                shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 shared.precompute_compress(level=LEVEL)
                 options["dict_data"] = shared
             made.append(zstandard.ZstdCompressor(**options))
         return made[0], made[1]
 
 
+def dictionaries(by: dict[int, list[bytes]]) -> Model:
+    """Dictionaries of the texts of each label, not calibrated yet."""
+    return Model(build_dictionary(by[1]), build_dictionary(by[0]), ())
+
+
 def features(text: bytes, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> tuple[float, ...]:
     """Compressed-size difference in bytes of a hundred, shortness (1: empty), their product."""
     parts = blocks(text)
@@ -142,14 +150,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not by[0] or not by[1]:
         share = (len(by[1]) + 1) / (len(sample) + 2)
         return Model(b"", b"", (0.0, 0.0, 0.0, math.log(share / (1 - share))))
-    cut = {k: max(1, int(DICTIONARY_SHARE * len(by[k]))) for k in by}
-    model = Model(train_dictionary(by[1][:cut[1]]), train_dictionary(by[0][:cut[0]]), ())
-    good, bad = model.compressors()
-    rest = {k: by[k][cut[k]:] or by[k] for k in by}
-    rows = np.array([features(t, good, bad) for k in by for t in rest[k]])
-    y = np.array([k for k in by for _ in rest[k]])
-    share = {k: total[k] / sum(total.values()) * len(y) / len(rest[k]) for k in by}
-    model.weights = calibrate(rows, y.astype(float), np.where(y == 1, share[1], share[0]))
+    rows, y = [], []
+    for part in range(FOLDS):
+        # A class too small to spare a part stays whole.
+        model = dictionaries({k: [t for i, t in enumerate(by[k]) if i % FOLDS != part] or by[k] for k in by})
+        good, bad = model.compressors()
+        for k in by:
+            rows += [features(t, good, bad) for t in by[k][part::FOLDS]]
+            y += [k] * len(by[k][part::FOLDS])
+    model = dictionaries(by)
+    share = {k: total[k] / sum(total.values()) * len(y) / len(by[k]) for k in by}
+    model.weights = calibrate(np.array(rows), np.array(y, dtype=float), np.array([share[k] for k in y]))
     return model
 
 

@@ -29,9 +29,9 @@ def test_held_out_ranking_and_accuracy(scored, truth):
     rows = [(scored[i].score, y, scored[i].predicted) for i, y in truth.items() if scored[i].held_out]
     good, bad = [s for s, y, _ in rows if y == 1], [s for s, y, _ in rows if y == 0]
     above = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
-    assert above > 0.98
-    assert sum(p == y for _, y, p in rows) / len(rows) > 0.96
-    assert sum(p for _, y, p in rows if y == 1) / len(good) > 0.97
+    assert above > 0.99
+    assert sum(p == y for _, y, p in rows) / len(rows) > 0.98
+    assert sum(p for _, y, p in rows if y == 1) / len(good) > 0.98
 
 
 def test_scores_are_calibrated(scored, truth):
