@@ -6,10 +6,12 @@ running sum of position-keyed turn digests.  A conversation whose last hash is
 a proper prefix hash of another one is a snapshot of it; an anti-join keeps the
 maximal conversations, equal ones once, and only those are rendered.
 
-Everything is DataFrame operations.  Running sums are two-level (``SPAN`` turn
-numbers to a span), so a conversation with a large share of all turns does not
-sort in one task, and hashes are grouped before they are joined, so a first
-turn that a third of all conversations share is one row.
+Everything is DataFrame operations.  Turns are dealt by range of conversation
+and order, and a turn's place is that in its range plus what earlier ranges
+hold; running sums are two-level (``SPAN`` places to a span).  So a conversation
+with a large share of all turns does not sort in one task, whatever its turn
+numbers, and hashes are grouped before they are joined, so a first turn that a
+third of all conversations share is one row.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 SPAN = 256
+# Characters of a text that ranges are told apart by: the driver holds a sample of them.
+HEAD = 256
 ROLE_OPEN, ROLE_CLOSE, TURN_END = "<|", "|>\n", "<|end|>\n"
 
 
@@ -29,37 +33,42 @@ def rendered_turn(role: Column, text: Column) -> Column:
 
 
 def _digest_part(digest: Column, start: int) -> Column:
-    """Twelve hex digits as a number below 2^48: sums of up to 2^15 turns a span stay in 64 bits."""
+    """Twelve hex digits as a number below 2^48: sums over a span of up to 2^15 places stay in 64 bits."""
     return F.conv(F.substring(digest, start, 12), 16, 10).cast("long")
 
 
+def placed_turns(turns: DataFrame) -> DataFrame:
+    """(key, conv_id, turn, role, text) -> with pos (from 1) and n (turns of the conversation)."""
+    order = [F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last()]
+    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written, so that all readers see the same ranges.
+    ranged = cut_lineage(turns.repartitionByRange(parts, F.col("key"), *order, F.substring("text", 1, HEAD).asc_nulls_last())
+                         .withColumn("range", F.spark_partition_id()))
+    earlier = Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut_lineage(ranged.groupBy("key", "range").agg(F.count(F.lit(1)).alias("held"))
+                          .select("key", "range", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("skip"),
+                                  F.sum("held").over(Window.partitionBy("key")).alias("n")))
+    within = Window.partitionBy("key", "range").orderBy(*order, F.col("text").asc_nulls_last())
+    return (ranged.withColumn("inner", F.row_number().over(within)).join(offsets, ["key", "range"])
+            .select("key", "conv_id", "turn", "role", "text", (F.col("skip") + F.col("inner")).alias("pos"), "n"))
+
+
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """(key, conv_id, turn, role, text) -> with pos (from 1), n (turns of the conversation), h1, h2."""
-    spanned = turns.withColumn("span", F.coalesce(F.floor(F.col("turn") / SPAN), F.lit(1 << 40)))
-    order = [F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last(), F.col("text").asc_nulls_last()]
-    within = Window.partitionBy("key", "span").orderBy(*order)
-    earlier = Window.partitionBy("key").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-
-    spans = spanned.groupBy("key", "span").agg(F.count(F.lit(1)).alias("held"))
-    offsets = spans.select("key", "span",
-                           F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("skip"),
-                           F.sum("held").over(Window.partitionBy("key")).alias("n"))
-    placed = (spanned.withColumn("inner", F.row_number().over(within))
-              .join(cut_lineage(offsets), ["key", "span"])
-              .withColumn("pos", F.col("skip") + F.col("inner")))
     digest = F.md5(F.concat(
         F.col("pos").cast("string"), F.lit("\x1f"),
         F.coalesce(F.concat(F.lit("r"), F.col("role")), F.lit("n")), F.lit("\x1f"),
         F.coalesce(F.concat(F.lit("t"), F.col("text")), F.lit("n"))))
-    hashed = cut_lineage(placed.withColumn("digest", digest)
-                         .select("key", "conv_id", "span", "pos", "n", "role", "text",
+    hashed = cut_lineage(placed_turns(turns).withColumn("digest", digest)
+                         .select("key", "conv_id", F.floor((F.col("pos") - 1) / SPAN).alias("span"), "pos", "n", "role", "text",
                                  _digest_part(F.col("digest"), 1).alias("d1"),
                                  _digest_part(F.col("digest"), 13).alias("d2")))
-    # Running sums modulo 2^48, again span by span.
+    # Running sums modulo 2^48, span by span; those over spans as decimals, which no number of spans overflows.
     mod = 1 << 48
+    earlier = Window.partitionBy("key").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     sums = hashed.groupBy("key", "span").agg(F.sum("d1").alias("t1"), F.sum("d2").alias("t2"))
     before = sums.select("key", "span", *[
-        (F.coalesce(F.sum(F.col(t) % mod).over(earlier), F.lit(0)) % mod).alias(s)
+        (F.coalesce(F.sum((F.col(t) % mod).cast("decimal(20,0)")).over(earlier), F.lit(0)) % mod).cast("long").alias(s)
         for t, s in (("t1", "s1"), ("t2", "s2"))])
     running = (Window.partitionBy("key", "span").orderBy("pos")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -63,6 +63,29 @@ def test_random_logs_with_long_conversations(spark, monkeypatch):
     assert got(chat.format_chats(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
 
 
+def test_long_conversations_without_turn_numbers(spark):
+    """A null id whose turn numbers repeat and equal or null numbers in a snapshot: far more turns than a span of numbers."""
+    n, cut = 100_000, 80_000
+    text = "concat('t', lpad(id, 6, '0'))"
+    long_ = spark.range(n).selectExpr("cast(null as long) conv_id", "id % 3 turn", "'user' role", f"{text} text")
+    whole = spark.range(n).selectExpr("7L conv_id", "cast(null as long) turn", "'user' role", f"{text} text")
+    start = spark.range(cut).selectExpr("8L conv_id", "0L turn", "'user' role", f"{text} text")
+    other = spark.range(cut).selectExpr("9L conv_id", "0L turn", "'user' role", f"if(id = {cut - 1}, 'u', {text}) text")
+    df = chat.format_chats(long_.union(whole).union(start).union(other).repartition(4))
+    texts = [f"t{i:06d}" for i in range(n)]
+    rendered = lambda ts: "".join(f"<|user|>\n{t}<|end|>\n" for t in ts)
+    assert got(df) == sorted([("None", n, 1, rendered(t for r in range(3) for t in texts[r::3])), ("7", n, 1, rendered(texts)),
+                              ("9", cut, 1, rendered([*texts[:cut - 1], "u"]))])
+
+
+def test_spans_hold_a_fixed_number_of_places(spark):
+    turns = spark.range(50_000).selectExpr("'n' key", "cast(null as long) conv_id", "0L turn", "'user' role", "cast(id as string) text")
+    placed = chat.placed_turns(turns)
+    assert placed.selectExpr("min(pos)", "max(pos)", "count(distinct pos)", "min(n)").first()[:] == (1, 50_000, 50_000, 50_000)
+    hashed = chat.prefix_hashes(turns)
+    assert hashed.groupBy(chat.F.floor((chat.F.col("pos") - 1) / chat.SPAN)).count().selectExpr("max(count)").first()[0] == chat.SPAN
+
+
 def test_native_plan(spark):
     plan = queries.op5_chat_format(spark, SF_CHECK)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
