@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from ..session import cut_lineage
 from .columns import id_and_text, runs_of
@@ -361,19 +362,10 @@ def finished(regions: DataFrame, planted: DataFrame, components: DataFrame, node
                        .applyInArrow(_tile(k, percent), "a binary, b binary").distinct())
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id that links reach) and kept, a row per document.
+def _grouped(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, n, node, sig), and (node, id, component_id, first) of every node.
 
-    Two documents are linked when ``100 * |A & B| >= percent * |A | B|`` on their
-    sets of distinct ``k``-word shingles (A-Z lower-cased, words split at ASCII
-    white space, fewer than ``k`` words: one shingle).
-
-    Null, empty and blank texts have no shingles and are linked with nothing:
-    their component is their own id.  Equal sets are linked.  Repeated rows give
-    repeated results; rows with one id and other texts count as documents of
-    their own.  A null id joins its group and is kept only in a group without
-    other ids.  Other columns are not read.
+    ``first`` marks one node of each component: one that has the component's id.
     """
     trees = trees_for(percent / 100)
     rows = cut_lineage(signatures(docs, k, percent / 100, id_col, text_col))
@@ -392,19 +384,77 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     if more.limit(1).count():
         components = cut_lineage(connected_components(links.unionByName(more)))
 
-    smallest = cut_lineage(components.join(nodes.select("node", "id"), "node")
-                           .groupBy("component").agg(F.min("id").alias("component_id")))
-    linked = components.join(smallest, "component").select("node", F.col("component_id").alias("linked_id"))
+    smallest = cut_lineage(components.join(nodes.select("node", "id"), "node").groupBy("component")
+                           .agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "node")).alias("least"))
+                           .select("component", "least.id", "least.node").toDF("component", "linked_id", "least"))
+    linked = components.join(smallest, "component").select("node", "linked_id", "least")
     assigned = cut_lineage(nodes.select("node", "id").join(linked, "node", "left")
-                           .select("node", F.coalesce("linked_id", "id").alias("component_id")))
-    return (some.join(assigned, "node").select("id", "n", "component_id")
+                           .select("node", "id", F.when(F.col("least").isNull(), F.col("id"))
+                                   .otherwise(F.col("linked_id")).alias("component_id"),
+                                   F.coalesce(F.col("least") == F.col("node"), F.lit(True)).alias("first")))
+    return rows, assigned
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id that links reach) and kept, a row per document.
+
+    Two documents are linked when ``100 * |A & B| >= percent * |A | B|`` on their
+    sets of distinct ``k``-word shingles (A-Z lower-cased, words split at ASCII
+    white space, fewer than ``k`` words: one shingle).
+
+    Null, empty and blank texts have no shingles and are linked with nothing:
+    their component is their own id.  Equal sets are linked.  Repeated rows give
+    repeated results; rows with one id and other texts count as documents of
+    their own.  A null id joins its group and is kept only in a group without
+    other ids.  Other columns are not read.
+    """
+    rows, assigned = _grouped(docs, k, percent, id_col, text_col)
+    return (rows.where("n > 0").join(assigned.select("node", "component_id"), "node").select("id", "n", "component_id")
             .unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
                     F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, with their own columns."""
-    kept = cut_lineage(near_duplicates(docs, id_col=id_col, **options).where("kept")
-                       .select(F.col("doc_id").alias("__kept_id")).distinct())
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept_id")), "left_semi")
+def _tagged(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text, row) with the digest of the text's set (null: no words)."""
+    shingler = Shingler(k)
+    for batch in batches:
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        found = [digest(s) if len(s) else None for start, end in runs_of(texts) for s in shingler.sets(texts[start:end])]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], ["id", "text", "row", "node"])
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", k: int = 5, percent: int = 80,
+             text_col: str = "text") -> DataFrame:
+    """One row of ``docs``, with its own columns, of each group that :func:`near_duplicates` finds.
+
+    It is a row of the group's smallest id; of several (a repeated row, or equal
+    sets under one id or without one) the one with the smallest text.  A row
+    whose id repeats with other texts is judged by its own text.  Rows without
+    words are linked with nothing, so all of them stay.
+    """
+    rows, assigned = _grouped(docs, k, percent, id_col, text_col)
+    own = F.col(id_col).cast("long")
+    first = assigned.where("first").select(F.col("component_id").alias("id"), "node")
+    repeated = cut_lineage(rows.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("times"))
+                           .where("times > 1").select(F.col("id").alias("__id")))
+
+    # Ids of a single row name it.
+    single = cut_lineage(first.select("id").unionByName(rows.where("n = 0").select("id")).where("id is not null")
+                         .distinct().select(F.col("id").alias("__id"))
+                         .join(repeated, "__id", "left_anti"))
+    kept = docs.join(single, own == F.col("__id"), "left_semi")
+
+    # Other rows are found by id and set; equal ones are reduced to one before they meet the first of their group.
+    others = docs.where(own.isNull()).unionByName(docs.join(repeated, own == F.col("__id"), "left_semi"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    tagged = cut_lineage(others.select(own.alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), row.alias("row"))
+                         .mapInArrow(partial(_tagged, k=k), StructType([
+                             StructField("id", LongType()), StructField("text", StringType()),
+                             StructField("row", docs.schema), StructField("node", BinaryType())])))
+    one = (tagged.where("node is not null").groupBy("id", "node")
+           .agg(F.min_by("row", F.struct("text", F.xxhash64(F.to_json("row")))).alias("row")))
+    chosen = first.toDF("first_id", "first_node")
+    found = one.join(chosen, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("node") == F.col("first_node")), "left_semi")
+    return kept.unionByName(tagged.where("node is null").select("row.*")).unionByName(found.select("row.*"))

@@ -126,6 +126,38 @@ def test_awkward_rows(spark):
     assert kept.where("doc_id in (20, 21)").count() == 1
 
 
+def groups_of(rows, k, percent):
+    """Places of the rows of each group, by all pairs of rows; rows without words are groups of their own."""
+    n = range(len(rows))
+    sets = [shingles(t, k) for _, t in rows]
+    root = union_find(n, [(a, b) for a in n for b in n if a < b and sets[a] and sets[b]
+                          and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])])
+    return [[q for q in n if root[q] == r] for r in sorted(set(root.values()))]
+
+
+def test_keep_one_decides_by_row(spark):
+    """Repeated rows, an id with several texts, null ids: one row of each group stays."""
+    rng = random.Random(8)
+    base = [[f"w{f}x{i}" for i in range(60)] for f in range(8)]
+    text = lambda f, edit=0: " ".join(base[f] if not edit else [f"e{f}y{edit}", *base[f][1:]])
+    rows = [(1, text(0)), (1, text(0)), (1, text(0).upper()), (2, text(0, 1)),
+            (5, text(1)), (5, text(0, 2)), (5, text(2)), (6, text(2, 1)), (6, text(3)), (7, text(3, 1)),
+            (None, ""), (None, None), (None, text(0)), (None, text(4)), (None, text(4)),
+            (None, text(5)), (None, text(6)), (9, text(6)), (10, ""), (10, ""), (10, text(7)), (11, text(7, 1)), (12, " ")]
+    rng.shuffle(rows)
+    docs = (spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, at int")
+            .selectExpr("*", "map('a', at) as `more.of`").repartition(5))
+    kept = M.keep_one(docs, k=3, percent=80)
+    assert kept.dtypes == docs.dtypes
+    stay = sorted(r["at"] for r in kept.collect())
+    groups = groups_of(rows, 3, 80)
+    assert len(stay) == len(groups)
+    last = lambda i: (i is None, i or 0)
+    for group in groups:
+        there = [q for q in group if q in stay]
+        assert len(there) == 1 and rows[there[0]][0] == min((rows[q][0] for q in group), key=last)
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1300)]
