@@ -256,10 +256,12 @@ def _confirmed(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Itera
 
 
 def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(node, text) of the wanted nodes, written; a node's text is that of its smallest id."""
+    """(node, text) of the wanted nodes, written; a node's text is that of its smallest id, or of a row without one."""
     known = cut_lineage(wanted.distinct().join(nodes.select("node", "id"), "node"))
-    found = docs.join(known.select("id").distinct(), "id").select("text").mapInArrow(
-        partial(_digested, k=k), "node binary, text binary")
+    rows = docs.join(known.where("id is not null").select("id").distinct(), "id").select("text")
+    if known.where("id is null").limit(1).count():
+        rows = rows.unionByName(docs.where("id is null").select("text"))
+    found = rows.mapInArrow(partial(_digested, k=k), "node binary, text binary")
     # An id that repeats with other texts brings nodes nobody asked for; a repeated row, one twice.
     return cut_lineage(found.join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 

@@ -158,6 +158,25 @@ def test_keep_one_decides_by_row(spark):
         assert len(there) == 1 and rows[there[0]][0] == min((rows[q][0] for q in group), key=last)
 
 
+def test_near_copies_without_an_id(spark, monkeypatch):
+    """Null-id near copies of numbered documents and of each other, in small and in large regions."""
+    monkeypatch.setattr(M, "SMALL", 2)
+    monkeypatch.setattr(M, "BLOCK", 20)
+    rng = random.Random(21)
+    rows = []
+    for f, (size, n, ids) in enumerate([(50, 2, [3]), (60, 2, []), (70, 60, [11, 14]), (80, 60, [])]):
+        texts = family(rng, [f"w{f}x{i}" for i in range(size)], n, 2 if n == 2 else 5)
+        rows += [(ids[q] if q < len(ids) else None, t) for q, t in enumerate(texts)]
+    rng.shuffle(rows)
+    want = []
+    for group in groups_of(rows, 3, 85):
+        least = min((rows[q][0] for q in group if rows[q][0] is not None), default=None)
+        want += [(rows[q][0], len(shingles(rows[q][1], 3)), least, rows[q][0] == least) for q in group]
+    assert sum(c is not None and i is None for i, _, c, _ in want) > 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(repr, (tuple(r) for r in M.near_duplicates(docs, 3, 85).collect()))) == sorted(map(repr, want))
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1300)]
