@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embed_dedup, fingerprint, html_extract, licenses, minhash_forest, mixing, quality, token_count
+from . import (
+    bpe, chat, chat_repair, embed_dedup, fingerprint, html_extract, licenses, minhash_forest, mixing, quality, token_count)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,10 +55,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair_chats(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_compression_quality, op2_license_scan, op3_minhash_forest, op4_source_mix, op5_chat_format, op6_embedding_tiles,
-        op7_main_text, op8_token_counts, op9_fingerprints, op10_bpe)}
+        op7_main_text, op8_token_counts, op9_fingerprints, op10_bpe, op13_chat_repair)}
 
 ORACLES: dict[str, str] = {}
 
@@ -113,3 +118,89 @@ whole AS (SELECT text, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM gro
 shorter AS (SELECT DISTINCT text, pos FROM grown WHERE pos < n)
 SELECT w.conv_id, w.n AS n_turns, w.n_copies, CAST(length(w.text) AS BIGINT) AS n_chars, w.text
 FROM whole w LEFT JOIN shorter s ON s.text = w.text AND s.pos = w.n WHERE s.pos IS NULL"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, with the table ``crc_table.t`` (see CRC_TABLE) in scope."""
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))),"
+            " lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+                              lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) r(i)))"""
+
+
+def _grown(way: str, cost: str, letter: str) -> str:
+    """A way is its cost in nine digits and its audit, so that ways compare as strings; null: no way."""
+    return f"lpad(CAST(CAST(left({way}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({way}, 10) || '{letter}'"
+
+
+# Chat repair: the four states of the role automaton, row by row.
+ORACLES["op13_chat_repair"] = rf"""
+WITH RECURSIVE {CRC_TABLE},
+own AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS harm
+  FROM conversations, crc_table),
+harmed AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+         CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM own WHERE harm <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
+         regexp_extract(text, '([^ 	-])[ 	-]*\z', 1) AS last
+  FROM harmed),
+judged AS (
+  SELECT *, CASE WHEN last = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 2
+                 WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS pos, CAST('000000000' AS VARCHAR) AS e, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a
+  FROM facts
+  UNION ALL
+  SELECT conv_id, pos, {_grown("e", "4", "D")},
+         CASE WHEN r = 's' AND fault NOT IN (1, 2) THEN least({_grown("s", "4", "D")}, {_grown("e", "late", "K")}) ELSE {_grown("s", "4", "D")} END,
+         CASE WHEN fault IN (1, 2) THEN {_grown("u", "4", "D")}
+              WHEN r = 'u' THEN least({_grown("u", "4", "D")}, {_grown("least(e, s, a)", "late", "K")})
+              ELSE least({_grown("u", "4", "D")}, {_grown("least(e, s, a)", "late + 3", "R")}) END,
+         CASE WHEN fault IN (1, 2) THEN {_grown("a", "4", "D")}
+              WHEN r = 'a' THEN least({_grown("a", "4", "D")}, {_grown("u", "late", "K")})
+              ELSE least({_grown("a", "4", "D")}, {_grown("u", "late + 3", "R")}) END
+  FROM (SELECT conv_id, pos, r, fault, late, e, s, u, least(a, {_grown("u", "3", "I")}) AS a
+        FROM (SELECT j.conv_id, j.pos, j.r, j.fault, CASE WHEN j.fault = 3 THEN 3 ELSE 0 END AS late, w.e, w.s, w.a,
+                     least(w.u, {_grown("least(w.e, w.s, w.a)", "3", "I")}) AS u
+              FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.pos = w.pos + 1))),
+best AS (
+  SELECT f.conv_id, least(w.e, w.a, {_grown("least(w.u, " + _grown("least(w.e, w.s, w.a)", "3", "I") + ")", "3", "I")}) AS way
+  FROM facts f JOIN walk w ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND w.pos = f.n),
+letters AS (
+  SELECT conv_id, unnest(string_split(substr(way, 10), '')) AS letter, generate_subscripts(string_split(substr(way, 10), ''), 1) AS i FROM best),
+counted AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER sofar AS pos, count(*) FILTER (letter <> 'D') OVER sofar AS o,
+         count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id) % 2 AS odd
+  FROM letters WINDOW sofar AS (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+repaired AS (
+  SELECT c.conv_id,
+         string_agg(CASE WHEN letter = 'K' THEN j.role WHEN (o - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                    || ':' || CASE WHEN letter = 'I' THEN '' ELSE j.text END, chr(10) ORDER BY i) AS text
+  FROM counted c LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM c.conv_id AND j.pos = c.pos
+  WHERE letter <> 'D' GROUP BY c.conv_id)
+SELECT o.conv_id, CAST(coalesce(f.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(f.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(f.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(f.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(f.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(CAST(left(b.way, 9) AS BIGINT), 0) AS BIGINT) AS cost,
+       coalesce(substr(b.way, 10), '') AS audit, sha256(coalesce(p.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM o.conv_id"""
