@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    bpe, chat, chat_repair, embed_dedup, fingerprint, html_extract, licenses, minhash_forest, mixing, quality, token_count)
+    bpe, chat, chat_repair, embed_dedup, fingerprint, html_extract, licenses, minhash_forest, mixing, quality, tandem_runs, token_count)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tandem_runs.run_digests(tandem_runs.find_runs(table(spark, sf_dir, "documents"), plant=True))
+
+
 def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repair_chats(table(spark, sf_dir, "conversations"))
 
@@ -62,7 +66,7 @@ def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_compression_quality, op2_license_scan, op3_minhash_forest, op4_source_mix, op5_chat_format, op6_embedding_tiles,
-        op7_main_text, op8_token_counts, op9_fingerprints, op10_bpe, op13_chat_repair)}
+        op7_main_text, op8_token_counts, op9_fingerprints, op10_bpe, op12_tandem_runs, op13_chat_repair)}
 
 ORACLES: dict[str, str] = {}
 
@@ -139,6 +143,32 @@ def _grown(way: str, cost: str, letter: str) -> str:
     return f"lpad(CAST(CAST(left({way}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({way}, 10) || '{letter}'"
 
 
+# Periodic runs: equal words of every distance, joined to stretches.
+ORACLES["op12_tandem_runs"] = rf"""
+WITH {CRC_TABLE},
+split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w, {crc32_sql("CAST(doc_id AS VARCHAR)")} AS h
+  FROM documents, crc_table),
+sized AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS harmed, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, (h // 10) % 8 AS g8 FROM split),
+words AS (
+  SELECT doc_id, n, i, w[1 + CASE WHEN harmed AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g8)) ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM sized)),
+equal AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal),
+stretches AS (SELECT doc_id, min(i) AS s, count(*) + q AS l, q FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, s, l, min(q) AS q FROM stretches GROUP BY doc_id, s, l),
+lists AS (
+  SELECT doc_id, count(*) AS n_runs, first(struct_pack(s := s, l := l, q := q) ORDER BY l DESC, s, q) AS best,
+         string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+  FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+collapsed AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length, CAST(best.q AS BIGINT) AS period,
+       CAST(1000 * best.l // best.q AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(c.text, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN lists USING (doc_id) LEFT JOIN collapsed c USING (doc_id)"""
+
 # Chat repair: the four states of the role automaton, row by row.
 ORACLES["op13_chat_repair"] = rf"""
 WITH RECURSIVE {CRC_TABLE},
@@ -153,7 +183,9 @@ harmed AS (
   FROM own WHERE harm <> 0),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
-         regexp_extract(text, '([^ 	-])[ 	-]*\z', 1) AS last
+         regexp_extract(text, '([^ 	-
+])[ 	-
+]*\z', 1) AS last
   FROM harmed),
 judged AS (
   SELECT *, CASE WHEN last = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 2
