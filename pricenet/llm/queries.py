@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    bpe, chat, chat_repair, embed_dedup, fingerprint, html_extract, licenses, minhash_forest, mixing, quality, tandem_runs, token_count)
+    bpe, chat, chat_repair, embed_dedup, fingerprint, html_extract, licenses, minhash_forest, mixing, quality, secret_scan,
+    tandem_runs, token_count)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.span_digests(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op12_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tandem_runs.run_digests(tandem_runs.find_runs(table(spark, sf_dir, "documents"), plant=True))
 
@@ -66,7 +71,8 @@ def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_compression_quality, op2_license_scan, op3_minhash_forest, op4_source_mix, op5_chat_format, op6_embedding_tiles,
-        op7_main_text, op8_token_counts, op9_fingerprints, op10_bpe, op12_tandem_runs, op13_chat_repair)}
+        op7_main_text, op8_token_counts, op9_fingerprints, op10_bpe, op11_secret_scan, op12_tandem_runs,
+        op13_chat_repair)}
 
 ORACLES: dict[str, str] = {}
 
