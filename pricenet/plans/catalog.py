@@ -120,15 +120,21 @@ def _nested_relation(c: Context) -> DataFrame:
 # ------------------------------------------------------------ query bodies
 
 def q_observations(spark, d):
-    """S1 from written files: capitalised names, one column too many, one item without any price."""
+    """S1 from written CSV files of two layouts: columns in other orders, one too many, one item without
+    any price, and rows whose price or year is no number, which are set apart."""
     rows = panel.fixture_observations(spark, d).select(
-        F.col("city").alias("City"), F.col("year").alias("Year"), F.col("category").alias("Category"),
+        F.col("city").alias("City"), F.col("year").cast("string").alias("Year"), F.col("category").alias("Category"),
         F.col("month_year").alias("Month_Year"), F.col("item_description").alias("Item_Description"),
-        F.when(F.col("category") != UNPRICED_CATEGORY, F.col("normalized_price")).alias("Normalized_Price"),
+        F.when(F.col("category") != UNPRICED_CATEGORY, F.col("normalized_price")).cast("string").alias("Normalized_Price"),
         F.length("city").alias("Extra"))
+    bad = rows.where(F.col("Year") == str(SLICE_YEAR))
+    rows = rows.unionByName(bad.withColumn("Normalized_Price", F.lit("n/a"))).unionByName(bad.withColumn("Year", F.lit("98a")))
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricenet-tables/{run_folder(spark)}/{uuid.uuid4().hex}"
-    rows.write.parquet(folder)
-    return panel.read_observations(spark, folder).drop("ordinal")
+    even = F.substring("Month_Year", -1, 1).cast("int") % 2 == 0
+    layouts = {"a": sorted(rows.columns), "b": sorted(set(rows.columns) - {"Extra"}, reverse=True)}
+    for name, of in (("a", even), ("b", ~even)):
+        rows.where(of).select(*layouts[name]).write.option("header", "true").csv(f"{folder}/{name}")
+    return panel.read_observations(spark, [f"{folder}/a", f"{folder}/b"], "csv", rejects=f"{folder}/rejects").drop("ordinal")
 
 
 def q_prep_unpivot(spark, d):

@@ -10,6 +10,7 @@ exists; the command then ends with an error that names the failed steps.
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 import sys
 from collections.abc import Mapping, Sequence
@@ -18,6 +19,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricenet.functions.validation import check_metric_weights
 from pricenet.operators import scoring as W
 from pricenet.plans.analysis import Analysis
 from pricenet.plans.report import render_markdown, save_report, save_results, summary_counts, top5_by_year
@@ -31,16 +33,20 @@ def run_full_analysis(observations: DataFrame, cities: Sequence[str], tau: float
                       years: Sequence[int] | None = None, categories: Sequence[str] | None = None,
                       output_dir: str | None = None, weighted: bool = False,
                       category_weights: Mapping[str, float] | None = None,
-                      fmt: str = "parquet") -> dict[str, Any]:
+                      metric_weights: Mapping[str, float] | None = None, fmt: str = "parquet") -> dict[str, Any]:
     """Build networks, centralities, scores, roll-up and evolution; save.
 
     Returns the result tables (DataFrames; the shared ones are already
     materialised), the markdown report and ``failed``, the names of steps
     that raised.  With ``output_dir`` tables are written in ``fmt`` (parquet
-    or csv), the report beside them.
+    or csv), the report beside them.  ``category_weights`` scale the scores of
+    categories (unnamed ones by 0.1), ``metric_weights`` make the interactive
+    score (equal weights where none are given).
     """
-    a = Analysis(observations, cities, tau=tau, weighted=weighted, years=years,
-                 categories=categories, category_weights=category_weights)
+    if metric_weights is not None:
+        check_metric_weights(metric_weights)
+    a = Analysis(observations, cities, tau=tau, weighted=weighted, years=years, categories=categories,
+                 category_weights=category_weights, interactive_weights=metric_weights)
     results: dict[str, Any] = {"analysis": a, "failed": []}
 
     def step(name: str, needs: Sequence[str], fn) -> None:
@@ -67,10 +73,22 @@ def run_full_analysis(observations: DataFrame, cities: Sequence[str], tau: float
     return results
 
 
+def parsed_weights(text: str) -> dict[str, float]:
+    """``name=value,name=value`` or a JSON object as weights by name."""
+    if text.lstrip().startswith("{"):
+        pairs = json.loads(text).items()
+    else:
+        pairs = [p.rsplit("=", 1) for p in text.split(",") if p.strip()]
+        if any(len(p) != 2 for p in pairs):
+            raise ValueError(f"weights are name=value pairs: {text!r}")
+    return {name.strip(): float(value) for name, value in pairs}
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     """Command-line job; 0 only if every step succeeded.
 
-    ``--quick`` keeps the first of the given years, or the earliest year of the
+    Bad rows of CSV and JSON input go to ``--rejects`` (by default the table
+    ``rejected_rows`` of the output).  ``--quick`` keeps the first of the given years, or the earliest year of the
     input where none is given.
     """
     p = argparse.ArgumentParser(description="Price similarity network analysis")
@@ -82,16 +100,20 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--threshold", type=float, default=0.75)
     p.add_argument("--output", default="data/results")
     p.add_argument("--output-format", choices=["parquet", "csv"], default="parquet")
+    p.add_argument("--rejects", help="table for bad input rows")
+    p.add_argument("--category-weights", type=parsed_weights, help="Food=0.25,Fuel=0.35 or a JSON object")
+    p.add_argument("--metric-weights", type=parsed_weights, help="D_i=0.4,C_i=0.3,B_i=0.2,E_i=0.1 or a JSON object")
     p.add_argument("--quick", action="store_true")
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName("pricenet").getOrCreate()
-    obs = read_observations(spark, args.input, args.format)
+    obs = read_observations(spark, args.input, args.format, rejects=args.rejects or f"{args.output.rstrip('/')}/rejected_rows")
     years = args.years
     if args.quick:
         first = years[0] if years else obs.agg(F.min("year")).first()[0]
         years = [] if first is None else [first]
     res = run_full_analysis(obs, args.cities.split(","), tau=args.threshold, years=years,
-                            categories=args.categories, output_dir=args.output, fmt=args.output_format)
+                            categories=args.categories, output_dir=args.output, fmt=args.output_format,
+                            category_weights=args.category_weights, metric_weights=args.metric_weights)
     drop_run_tables(spark)
     if res.get("report"):
         print(res["report"])

@@ -6,8 +6,8 @@ The analysis input is a long table of price observations::
     item_description STRING, normalized_price DOUBLE [, ordinal]
 
 ``ordinal`` (any orderable type) records file order; "first value per (city,
-feature)" is defined by it.  Files are read with an explicit schema, never
-inferred.
+feature)" is defined by it.  Text files are bound by their column names and
+converted to these types, never inferred.
 """
 
 from __future__ import annotations
@@ -15,22 +15,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricenet.functions.exprs import safe_div
 from pricenet.functions.validation import OBSERVATION_COLUMNS, require_columns
 from pricenet.session import cut_lineage
+from pricenet.sources.files import PLACE, accepted, file_order, read_by_name
 
-OBSERVATION_SCHEMA = T.StructType([
-    T.StructField("City", T.StringType()),
-    T.StructField("Year", T.IntegerType()),
-    T.StructField("Category", T.StringType()),
-    T.StructField("Month_Year", T.StringType()),
-    T.StructField("Item_Description", T.StringType()),
-    T.StructField("Normalized_Price", T.DoubleType()),
-])
+# Required columns of a file and their types.
+OBSERVATION_TYPES = {"City": "string", "Year": "int", "Category": "string", "Month_Year": "string",
+                     "Item_Description": "string", "Normalized_Price": "double"}
 
 # reference column name -> internal column name
 _RENAME = {
@@ -47,20 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Row numbers within a partition sit in the low bits of a monotonically increasing id.
-_ROW_BITS = (1 << 33) - 1
-
-
-def file_order() -> Column:
-    """Order of a row in a file source: file path, start of its split, row within the split.
-
-    Spark deals splits to tasks by size, so a row id alone does not follow the
-    files; within one split it does.
-    """
-    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
-                    F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("row"))
-
-
 def observations(df: DataFrame, ordinal: bool = True) -> DataFrame:
     """Validate the required columns and bring them to internal names.
 
@@ -92,19 +73,20 @@ def _from_files(df: DataFrame) -> bool:
         return False
 
 
-def read_observations(spark: SparkSession, path: str, fmt: str = "parquet",
-                      **options) -> DataFrame:
-    """S1 for files: explicit schema for CSV/JSON, footer schema for parquet."""
-    reader = spark.read.options(**options)
-    if fmt == "parquet":
-        raw = reader.parquet(path)
-    elif fmt == "csv":
-        raw = reader.schema(OBSERVATION_SCHEMA).option("header", "true").csv(path)
-    elif fmt == "json":
-        raw = reader.schema(OBSERVATION_SCHEMA).json(path)
-    else:
-        raw = reader.format(fmt).load(path)
-    return observations(raw)
+def read_observations(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet",
+                      rejects: str | None = None, **options) -> DataFrame:
+    """S1 for files: columns are bound by name in every format.
+
+    CSV files are read by their own headers and JSON lines by their keys, with
+    every value checked (:mod:`pricenet.sources.files`): bad rows go to the
+    parquet table ``rejects``, or fail the job where none is named.  Other
+    formats carry their schema.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    if fmt in ("csv", "json"):
+        raw = accepted(read_by_name(spark, paths, fmt, OBSERVATION_TYPES, **options), rejects)
+        return observations(raw.withColumnRenamed(PLACE, "ordinal"))
+    return observations(spark.read.options(**options).format(fmt).load(paths))
 
 
 # ---------------------------------------------------------------- P1 - P4

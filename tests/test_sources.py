@@ -145,6 +145,16 @@ def test_cli_main(spark, tmpdir_path, monkeypatch):
     first = obs.agg(F.min("Year")).first()[0]
     ranks = spark.read.option("header", "true").csv(os.path.join(out, "final_rankings"))
     assert {int(r.year) for r in ranks.select("year").distinct().collect()} == {first}
+    # Weights by name reach the scores; unnamed categories weigh 0.1.
+    assert job.main([*plain, "--output", out, "--quick", "--category-weights", "ECONOMY=0.3,PROMO=0.2",
+                     "--metric-weights", '{"D_i": 0.7, "C_i": 0.1, "B_i": 0.1, "E_i": 0.1}']) == 0
+    for r in spark.read.parquet(os.path.join(out, "weighted_scores")).collect():
+        assert r.score_category_weighted == pytest.approx(0.3 * r.score_equal)
+        assert r.score_interactive == pytest.approx(0.7 * r.d_i + 0.1 * (r.c_i + r.b_i + r.e_i))
+    with pytest.raises(SystemExit):
+        job.main([*plain, "--output", out, "--category-weights", "ECONOMY"])
+    with pytest.raises(ValueError, match="add up"):
+        job.main([*plain, "--output", out, "--metric-weights", "D_i=0.9,C_i=0.1,B_i=0.1,E_i=0.1"])
     monkeypatch.setattr(job, "save_report", lambda *a: 1 / 0)
     assert job.main([*plain, "--output", out, "--quick"]) == 1
 

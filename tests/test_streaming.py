@@ -1,10 +1,13 @@
 """Incremental refresh (R1) equals a full recompute."""
 
 import os
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from pricenet.functions import moments as M
 from pricenet.operators import scoring as W
 from pricenet.plans.analysis import Analysis
 from pricenet.sources import panel
@@ -89,3 +92,97 @@ def test_unreadable_table_is_an_error(spark, tmpdir_path):
         f.write("no parquet")
     with pytest.raises(Exception, match="(?i)parquet|footer"):
         refresh._read_or_none(spark, path).count()
+
+
+PRICES = "city string, year int, category string, month_year string, item_description string, price double"
+
+
+def tables_of(spark, out, names=("network_metadata", "weighted_scores", "network_evolution", "final_rankings")):
+    got = {}
+    for name in names:
+        df = refresh._read_or_none(spark, os.path.join(out, name))
+        got[name] = [] if df is None else sorted(
+            str([round(v, 9) if isinstance(v, float) else v for v in x]) for x in df.select(*sorted(df.columns)).collect())
+    return got
+
+
+def wanted(spark, rows, cities, tau):
+    full = Analysis(panel.zscore(spark.createDataFrame(rows, PRICES + ", ordinal int")), cities, tau=tau)
+    tables = {"network_metadata": full.metadata, "weighted_scores": full.scores, "network_evolution": full.evolution,
+              "final_rankings": W.scores_by_year(full.scores, sort=False)}
+    return {name: sorted(str([round(v, 9) if isinstance(v, float) else v for v in x]) for x in df.select(*sorted(df.columns)).collect())
+            for name, df in tables.items()}
+
+
+def random_prices(seed, categories, n=60):
+    rng = random.Random(seed)
+    return [(rng.choice("ABC"), rng.choice([2020, 2021]), rng.choice(categories), f"m{rng.randrange(6)}", rng.choice(["rice", "oil"]),
+             rng.choice([None, round(rng.uniform(1, 9), 2)])) for _ in range(n)]
+
+
+def test_batches_read_only_their_categories(spark, tmpdir_path):
+    """State and history of other categories are pruned; a replayed batch changes nothing."""
+    out = os.path.join(tmpdir_path, "out")
+    r = Refresher(["A", "B", "C"], 0.1, out)
+    batches = [random_prices(1, ["Food", "Fuel", None]), random_prices(2, ["Food"]), random_prices(3, ["Fuel", "Rent"])]
+    every = []
+    for k, rows in enumerate(batches):
+        r.process(spark.createDataFrame(rows, PRICES).coalesce(1), k)
+        every += [(*x, 1000 * k + i) for i, x in enumerate(rows)]
+    want = wanted(spark, every, ["A", "B", "C"], 0.1)
+    assert tables_of(spark, out) == want
+    r.process(spark.createDataFrame(batches[2], PRICES).coalesce(1), 2)
+    assert tables_of(spark, out) == want
+    history = r.history(spark, ["Food"])
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*category#\d+ = Food", plan) and "DataFilters: []" in plan
+    assert {f.split("category=")[1].split("/")[0] for f in
+            (x.p for x in history.selectExpr("_metadata.file_path as p").distinct().collect())} == {"Food"}
+
+    def versions():
+        state = spark.read.schema(refresh.MOMENTS_SCHEMA).parquet(f"{out}/moments")
+        return {(x.category, x.batch_id) for x in state.select("category", "batch_id").distinct().collect()}
+    assert versions() == {("Food", 0), ("Food", 1), ("Fuel", 0), ("Fuel", 2), ("Rent", 2), (None, 0)}
+    r.merge_moments(spark, 3, ["Food"])
+    assert versions() >= {("Food", 1), ("Food", 3)} and ("Food", 0) not in versions()
+    r.process(spark.createDataFrame([], PRICES), 4)
+    assert tables_of(spark, out) == want
+
+
+def test_merged_moments(spark):
+    rows = [("a", x) for x in (1.0, 2.5, 4.0, -3.0, 1e6)] + [("b", 0.1)] * 7 + [(None, 2.0), (None, 5.0), ("c", None), ("d", 1.0)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    part = df.repartition(3).withColumn("part", F.spark_partition_id() % 3)
+    state = M.moments(part.where("part = 0"), ["k"], "x")
+    for i in (1, 2):
+        state = M.merged(state, M.moments(part.where(f"part = {i}"), ["k"], "x"), ["k"])
+    want = {r.k: r for r in M.moments(df, ["k"], "x").collect()}
+    got = {r.k: r for r in state.collect()}
+    assert got.keys() == want.keys() == {"a", "b", None, "d"}
+    for k, r in got.items():
+        assert (r.n, r.lo, r.hi) == (want[k].n, want[k].lo, want[k].hi)
+        assert r["mean"] == pytest.approx(want[k]["mean"]) and r.m2 == pytest.approx(want[k].m2, abs=1e-9)
+    z = {(r.k, r.x): r.z for r in M.zscored(df, state, ["k"], "x", "z").collect()}
+    full = {(r.k, r.x): r.z for r in panel.zscore(df.where("k is not null"), "x", ["k"], "z").collect()}
+    assert all(z[key] == pytest.approx(v) for key, v in full.items()) and z[("b", 0.1)] == 0.0 and z[("d", 1.0)] == 0.0
+
+
+def test_csv_stream_is_bound_by_header(spark, tmpdir_path):
+    src, out, ck = (os.path.join(tmpdir_path, x) for x in ("incoming", "out", "ck"))
+    os.makedirs(src)
+    r = Refresher(["A", "B", "C"], 0.1, out)
+    every, names = [], ["city", "year", "category", "month_year", "item_description", "price"]
+    for k in range(2):
+        rows = random_prices(10 + k, ["Food", "Fuel"])
+        order = names if k else ["price", "category", "Extra", "month_year", "city", "item_description", "year"]
+        with open(os.path.join(src, f"{k}.csv"), "w") as f:
+            f.write(",".join(order) + "\n")
+            for x in rows:
+                named = dict(zip(names, x)) | {"Extra": "x"}  # noqa: B905
+                f.write(",".join("" if named[c] is None else str(named[c]) for c in order) + "\n")
+            f.write(",".join("bad" for _ in order) + "\n")
+        r.start(spark, src, ck, fmt="csv").awaitTermination()
+        every += [(*x, 1000 * k + i) for i, x in enumerate(rows)]
+    assert tables_of(spark, out) == wanted(spark, every, ["A", "B", "C"], 0.1)
+    bad = spark.read.parquet(os.path.join(out, "rejected"))
+    assert [x.reject_reason for x in bad.collect()] == ["year is no int: bad"] * 2
