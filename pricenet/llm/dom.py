@@ -53,6 +53,9 @@ class Page:
         self.elements = [Element("#root", "", -1, 0, 0, 0)]
         self.texts: list[tuple[int, str]] = []
         self._open = [0]
+        # Where in ``_open`` elements of a tag, and those of SCOPE, stand.
+        self._places: dict[str, list[int]] = {}
+        self._scopes: list[int] = []
         at, n = 0, len(html)
         for m in self._markup(html):
             if m.start() > at:
@@ -95,21 +98,26 @@ class Page:
     def _pop_to(self, depth: int) -> None:
         while len(self._open) > depth:
             e = self.elements[self._open.pop()]
+            if e.index:
+                self._places[e.tag].pop()
+                if e.tag in SCOPE:
+                    self._scopes.pop()
             e.end, e.end_text = len(self.elements), len(self.texts)
             if e.tag not in INLINE:
                 self.texts.append((-1, " "))
 
+    def _last(self, tags) -> int:
+        """Place of the innermost open element of some tags, 0 without one."""
+        return max((self._places[t][-1] for t in tags if self._places.get(t)), default=0)
+
     def _close_open(self, tags: set[str], stop) -> None:
-        for k in range(len(self._open) - 1, 0, -1):
-            tag = self.elements[self._open[k]].tag
-            if tag in tags:
-                # Close the outermost one of these before the boundary.
-                while k > 1 and self.elements[self._open[k - 1]].tag in tags and len(tags) > 1:
-                    k -= 1
-                self._pop_to(k)
-                return
-            if tag in stop:
-                return
+        k = self._last(tags)
+        if not k or k < self._last(stop):
+            return
+        # Close the outermost one of these before the boundary.
+        while k > 1 and self.elements[self._open[k - 1]].tag in tags and len(tags) > 1:
+            k -= 1
+        self._pop_to(k)
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in CLOSES_P:
@@ -121,16 +129,15 @@ class Page:
         index = len(self.elements)
         self.elements.append(Element(tag, attributes, self._open[-1], len(self._open), index, len(self.texts)))
         if tag not in VOID:
+            self._places.setdefault(tag, []).append(len(self._open))
+            if tag in SCOPE:
+                self._scopes.append(len(self._open))
             self._open.append(index)
 
     def _close(self, tag: str) -> None:
-        for k in range(len(self._open) - 1, 0, -1):
-            open_tag = self.elements[self._open[k]].tag
-            if open_tag == tag:
-                self._pop_to(k)
-                return
-            if tag in INLINE and open_tag in SCOPE:
-                return
+        places = self._places.get(tag)
+        if places and not (tag in INLINE and self._scopes and self._scopes[-1] > places[-1]):
+            self._pop_to(places[-1])
 
 
 class _Skipped:

@@ -1,10 +1,12 @@
 """Main text of web pages by gradient-boosted trees over DOM-node features.
 
-Every element with text is scored from its subtree (text, link and tag
+Every block element with text is scored from its subtree (text, link and tag
 density), its attribute tokens and its ancestors', its depth and its siblings.
-The scores are decoded together: an element can be kept only below kept
-ones, and the best such choice is found from the leaves up, so no kept element
-stands in a dropped one and none is dropped for its own score alone.
+Inline elements (links, emphasis) follow the block they stand in and items their
+list, unless their own attributes speak of a part that is none of the text.  The scores are
+decoded together: an element can be kept only below kept ones, and the best
+such choice is found from the leaves up, so no kept element stands in a dropped
+one and none is dropped for its own score alone.
 
 The model is trained on the driver from seeded labelled pages (page_samples),
 about a second of work that does not grow with the table, and is broadcast.
@@ -14,6 +16,7 @@ Each page is one row in, one row out; nothing is shuffled.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -83,6 +86,19 @@ def groups_of(attributes: str, element) -> int:
     return _GROUPS[attributes]
 
 
+# Groups of attribute tokens that let an inline element be judged by itself.
+_APART = sum(1 << GROUP_OF[t] for t in ("ad", "nav", "notice", "comment", "share", "form", "hidden"))
+
+
+# Items are judged as a list: one that is only a link says nothing by itself.
+_FOLLOWING = (INLINE - {"label"}) | {"li", "dt", "dd"}
+
+
+def scored(tag: str, groups: int) -> bool:
+    """Whether an element is judged: blocks, form labels, and whatever is named as some other part."""
+    return tag not in _FOLLOWING or bool(groups & _APART)
+
+
 def _running(values: list[int]) -> list[int]:
     out, total = [0], 0
     for v in values:
@@ -92,7 +108,7 @@ def _running(values: list[int]) -> list[int]:
 
 
 def features(page: Page) -> tuple[list[int], list[list[float]]]:
-    """Indices of the elements with text, and a row of features for each."""
+    """Indices of the judged elements with text, and a row of features for each."""
     elements, texts = page.elements, page.texts
     in_link = [False] * len(elements)
     own_groups, above_groups, above_tags = [0] * len(elements), [0] * len(elements), [0] * len(elements)
@@ -118,10 +134,12 @@ def features(page: Page) -> tuple[list[int], list[list[float]]]:
         tags = [elements[c].tag for c in children]
         p = elements[parent]
         parent_chars = max(1, chars[p.end_text] - chars[p.start_text])
-        same = {t: tags.count(t) for t in set(tags)}
+        same = Counter(tags)
         mean = sum(sizes) / len(sizes)
         for k, (c, n) in enumerate(zip(children, sizes, strict=True)):
             e = elements[c]
+            if not scored(e.tag, own_groups[c]):
+                continue
             tag_group, groups, above, above_tag = TAG_OF.get(e.tag, 20), own_groups[c], above_groups[c], above_tags[c]
             link = linked[e.end_text] - linked[e.start_text]
             count = e.end - e.index
@@ -143,17 +161,18 @@ def features(page: Page) -> tuple[list[int], list[list[float]]]:
 def decode(page: Page, indices: list[int], scores: np.ndarray) -> list[bool]:
     """Which elements are kept: the set closed under parents with the greatest sum of log-odds.
 
-    The root is always kept, so text outside all elements is.
+    The root is always kept, so text outside all elements is.  Elements without
+    a score are kept with their parents.
     """
-    gain = [0.0] * len(page.elements)
+    gain, judged = [0.0] * len(page.elements), [False] * len(page.elements)
     for i, s in zip(indices, np.clip(scores, -4, 4).tolist(), strict=True):
-        gain[i] = s
+        gain[i], judged[i] = s, True
     for e in reversed(page.elements[1:]):
         if gain[e.index] > 0:
             gain[e.parent] += gain[e.index]
     keep = [True] * len(page.elements)
     for e in page.elements[1:]:
-        keep[e.index] = keep[e.parent] and gain[e.index] > 0
+        keep[e.index] = keep[e.parent] and (gain[e.index] > 0 or not judged[e.index])
     return keep
 
 
@@ -218,8 +237,10 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     Character references are decoded, white space becomes single spaces.  Null
     and empty html gives an empty text, html without elements all of its text;
-    unclosed and misnested elements are closed as browsers close them.  Repeated
-    rows give repeated results; other columns are not read.
+    unclosed and misnested elements are closed as browsers close them, in time
+    that grows with the page alone.  Very long pages are read whole.  Repeated
+    rows give repeated results; other columns are not read; an empty table
+    gives an empty table.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model())
     read = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),

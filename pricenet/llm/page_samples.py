@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import random
 
-PAGES = 500
+PAGES = 600
 SEED = 20
 
 # Attribute names by the role of an element, as they are common on the web.
@@ -70,7 +70,17 @@ class Writer:
 
     def paragraph(self, link: float = 0.01) -> str:
         size = self.rng.choice([(1, 4), (5, 20), (20, 60), (40, 150)])
-        return self.words(*size, link=link)
+        parts = [self.words(*size, link=link)]
+        while self.chance(0.2):
+            parts.insert(self.rng.randint(0, len(parts)), f'<a href="/l">{self.words(2, 14)}</a>')
+        return f'<a href="/l">{parts[0]}</a>' if self.chance(0.04) and "<a" not in parts[0] else " ".join(parts)
+
+    def sources(self) -> str:
+        """A list of links that belongs to an article."""
+        head = self.element(self.rng.choice(["h2", "h3", "h4"]), self.words(1, 4)) * self.chance(0.5)
+        items = [f'<a href="/s{k}">{self.words(2, 14)}</a>' + (" " + self.words(1, 8)) * self.chance(0.3)
+                 for k in range(self.rng.randint(2, 8))]
+        return head + self.element(self.rng.choice(["ul", "ul", "ol"]), "".join(self.element("li", x) for x in items))
 
     def prose(self) -> str:
         """The blocks of an article, now and then with parts that are not its own."""
@@ -78,40 +88,43 @@ class Writer:
         loose = self.chance(0.15)
         for _ in range(r.choice([1, 2, 4, 7, 12, 20])):
             kind = r.random()
-            if kind < 0.66:
+            if kind < 0.62:
                 text = self.paragraph()
                 out.append(text + "<br>" * r.randint(1, 2) if loose else
                            f"<p><b>{text}<br>" if self.chance(0.08) else f"<p>{text}" + "</p>" * (not self.chance(0.1)))
-            elif kind < 0.74:
+            elif kind < 0.69:
                 out.append(self.element(r.choice(["h2", "h3", "h4"]), self.words(1, 8)))
-            elif kind < 0.80:
+            elif kind < 0.75:
                 out.append(self.element(r.choice(["ul", "ol"]), "".join(
-                    f"<li>{self.words(2, 25, link=0.02)}" + "</li>" * (not self.chance(0.2)) for _ in range(r.randint(2, 7)))))
-            elif kind < 0.84:
+                    "<li>" + (f'<a href="/l">{self.words(1, 14)}</a>' if self.chance(0.2) else self.words(2, 25, link=0.02)) + "</li>" * (not self.chance(0.2)) for _ in range(r.randint(2, 7)))))
+            elif kind < 0.79:
                 out.append(self.element("blockquote", self.element("p", self.words(6, 50))))
-            elif kind < 0.87:
+            elif kind < 0.82:
                 out.append(self.element("table", "".join(self.element("tr", "".join(
                     self.element(r.choice(["td", "th"]), self.words(1, 3)) for _ in range(3))) for _ in range(r.randint(2, 5)))))
-            elif kind < 0.89:
+            elif kind < 0.84:
                 out.append(self.element("pre", self.words(5, 30)))
-            elif kind < 0.91:
+            elif kind < 0.86:
                 out.append(self.element("figure", '<img src="a.png">' + self.element("figcaption", self.words(3, 15))))
-            elif kind < 0.94:
+            elif kind < 0.93:
+                out.append(self.sources())
+            elif kind < 0.95:
                 out.append(self.element(r.choice(["div", "section", "div"]), f"<p>{self.paragraph()}</p><p>{self.paragraph()}</p>"))
             else:
-                out.append(r.choice([self.advert, self.social, self.related, self.signup, self.notice])())
+                # Within an article, link lists are its own unless they are named otherwise.
+                out.append(r.choice([self.advert, lambda: self.social(1), lambda: self.related(1), self.signup, self.notice])())
         return "".join(out)
 
     def advert(self) -> str:
         inner = self.rng.choice([self.words(2, 25), f"<p>{self.words(3, 30)}</p>", f'<a href="/buy">{self.words(2, 12)}</a>'])
         return self.element(self.rng.choice(["div", "div", "section", "aside", "ins", "p"]), inner, self.named("ad", 1), 0)
 
-    def social(self) -> str:
-        return self.element("div", self.links(2, 6, (1, 2)), self.named("social"), 0)
+    def social(self, named: float = 0.85) -> str:
+        return self.element("div", self.links(2, 6, (1, 2)), self.named("social", named), 0)
 
-    def related(self) -> str:
+    def related(self, named: float = 0.85) -> str:
         inner = (self.element("h3", self.words(1, 4)) if self.chance(0.5) else "") + self.links(2, 8, (3, 12))
-        return self.element(self.rng.choice(["div", "section", "aside"]), inner, self.named("related"), 0)
+        return self.element(self.rng.choice(["div", "section", "aside"]), inner, self.named("related", named), 0)
 
     def signup(self) -> str:
         fields = self.element("label", self.words(1, 4)) + '<input type="text">' + self.element("button", self.words(1, 2))
@@ -164,8 +177,8 @@ class Writer:
         inner = title + self.prose()
         if self.chance(0.3):
             inner = title + self.element("div", self.prose(), self.named("content", 0.7))
-        inner += (self.social() * self.chance(0.1) + self.related() * self.chance(0.1) + self.comments() * self.chance(0.1))
-        tag = r.choice(["article", "article", "article", "div", "div", "section", "main"])
+        inner += (self.social(1) * self.chance(0.1) + self.related(1) * self.chance(0.1) + self.comments() * self.chance(0.1))
+        tag = r.choice(["article", "article", "article", "div", "div", "section", "main", "main"])
         return self.element(tag, inner, self.named("content", 0.4 if tag == "article" else 0.9), 1)
 
     def page(self) -> str:

@@ -3,6 +3,7 @@
 import html as H
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -100,6 +101,51 @@ def test_very_long_and_deep_pages(trees):
     assert texts[1] == "t " + (TEXT * 3000).strip() and len(texts[0]) in (0, len(TEXT.strip()))
 
 
+def words(n, stem="word"):
+    return " ".join(f"{stem}{k}" for k in range(n))
+
+
+@pytest.mark.parametrize("n", [1, 3, 7, 12, 30])
+def test_links_in_prose_stay(trees, n):
+    page = f"<article><h1>The title</h1><p>{TEXT}</p><p>{words(40)} <a href='/x'>{words(n, 'link')}</a> {words(35, 'rest')}</p></article>"
+    assert html_extract.extract([page], trees)[0] == f"The title {TEXT.strip()} {words(40)} {words(n, 'link')} {words(35, 'rest')}"
+
+
+NAV = '<nav><a href="/">Home</a> <a href="/n">News</a></nav>'
+FOOT = '<footer><p>&copy; 2020 the site</p><a href="/i">Imprint</a></footer>'
+
+
+@pytest.mark.parametrize("before, inner, after", [
+    (NAV, f"<article><h1>T one</h1><p>{TEXT}</p><h2>Sources</h2><ul>" + "".join(
+        f'<li><a href="/{k}">{words(4, f"s{k}x")}</a></li>' for k in range(5)) + "</ul></article>", FOOT),
+    (NAV, f"<main><h1>T</h1><p>{TEXT}</p><ol><li>{words(9)}</li><li><a href='/a'>{words(6, 'l')}</a></li></ol><p>{TEXT}</p></main>", FOOT),
+    ("<header><h2>Daily</h2></header>", f"<div class='post'><h1>T</h1><p><em>{words(12, 'lead')}</em></p><p>{TEXT}</p></div>", FOOT),
+    ("", f"<div id='content'><h1>T</h1><p>{TEXT}</p><blockquote><p>{words(20, 'q')}</p></blockquote><p>{TEXT}</p></div>", FOOT),
+    (NAV, f"<article><h1>T</h1><p><a href='/only'>{words(10, 'l')}</a></p><p>{TEXT}</p></article>", ""),
+    (NAV, f"<article><h1>T</h1><p>{TEXT}</p><table><tr><th>{words(2)}</th><td>{words(3, 'c')}</td></tr><tr><td>x</td><td>y</td></tr></table></article>", FOOT),
+    (NAV, f"<article><h1><a href='/self'>A linked title</a></h1><p>{TEXT}</p><p>{words(3, 'short')}</p></article>", FOOT),
+    ("<div class='ad'>Buy this now please</div>", f"<article><p>{TEXT}<br>{words(15)}</p><pre>{words(10, 'code')}</pre></article>", FOOT),
+    (NAV, f"<article><h1>T</h1><p>{TEXT}</p><figure><img src='a.png'><figcaption>{words(8, 'cap')}</figcaption></figure><p>{TEXT}</p></article>", FOOT),
+    (NAV, f"<section class='story-body'><h1>T</h1><p>{TEXT}</p><p>{words(30)} <a href='/1'>{words(4, 'k')}</a>, "
+          f"<a href='/2'>{words(5, 'm')}</a> <a href='/3'>{words(6, 'n')}</a>.</p></section>", FOOT),
+])
+def test_hand_written_layouts_come_out_whole(trees, before, inner, after):
+    page = f"<!DOCTYPE html><html><head><title>t</title></head><body>{before}{inner}{after}</body></html>"
+    blocks = re.sub(r"</?(?!a\b|em\b)[a-z0-9]+[^>]*>", " ", inner)
+    want = " ".join(H.unescape(re.sub(r"<[^>]*>", "", blocks)).split())
+    assert html_extract.extract([page], trees)[0] == want
+
+
+@pytest.mark.parametrize("html", [
+    "<b>" * 25_000 + "</i>" * 25_000, "<b>" * 25_000 + "<hr>" * 25_000, "<div>" * 20_000 + "</p>" * 20_000,
+    "<p>" + "<b>" * 25_000 + "<li>" * 25_000, "<table>" + "<tr><td>" * 20_000, "<i><p>" * 20_000 + "</i>" * 20_000,
+])
+def test_reader_is_linear(html):
+    began = time.process_time()
+    Page(html)
+    assert time.process_time() - began < 1.5
+
+
 def test_decoding_is_consistent():
     page = Page("<div><section><p>a</p><p>b</p></section><nav><a>c</a></nav></div>")
     by = {e.tag: e.index for e in page.elements}
