@@ -51,7 +51,7 @@ NOTICE_PHRASES = {
 }
 
 TAG_WORDS = ("spdx license identifier", "license expression")
-TAGS = ("spdx-license-identifier:", "license-expression:", "license-expression =")
+TAGS = ("spdx-license-identifier", "license-expression")
 BASE_STRENGTH, TAG_STRENGTH = 0.7, 0.95
 
 # Identifier stems, their label and how freely the text may be used (1: freely).
@@ -85,6 +85,8 @@ def family(identifier: str) -> tuple[str, float]:
 
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 _LINE = re.compile(r"[^\n\r]*")
+# Between a tag and its expression, either of them in quotes or not.
+_START = re.compile(r"""["']?[\x20\t]*[:=][\x20\t]*["']?""")
 _TOKEN = re.compile(r"[()]|[0-9a-z][0-9a-z.+:-]*")
 
 
@@ -181,7 +183,10 @@ class Scanner:
         """Terms of each expression that follows an identifier tag on its line."""
         lowered = text.lower().decode("utf-8", "replace")
         for end, _ in self.tags.iter(lowered):
-            line = _LINE.match(lowered, end + 1)[0]
+            start = _START.match(lowered, end + 1)
+            if start is None:
+                continue
+            line = _LINE.match(lowered, start.end())[0]
             line = re.sub(r"(\*/|-->|[\"';#,]).*", "", line)
             # The expression ends where two operands meet without an operator.
             kept: list[str] = []
@@ -248,8 +253,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     labels, score (how surely the text carries a licence notice) and freedom
     (how freely its strictest notice lets one use it, null without notice).
 
-    Null and empty texts: 0 words, no labels, score 0.  Repeated rows give
-    repeated results; other columns are not read.
+    Null and empty texts: 0 words, no labels, score 0.  Texts of any length are
+    scanned whole.  Repeated rows give repeated results; other columns are not
+    read; an empty table gives an empty table.
     """
     return id_and_text(docs, id_col, text_col).mapInArrow(
         _scan_batches, "doc_id long, n_words long, n_base long, first_word long, last_word long, "

@@ -66,7 +66,7 @@ def test_postfix_order():
 
 
 def test_tags_and_notices():
-    scan = licenses.Scanner().scan
+    scan = licenses.licenses.Scanner().scan
     row = scan(b"# SPDX-License-Identifier: (MIT OR GPL-2.0-only) AND CC-BY-4.0\ncode")
     assert row[4:6] == ("", "cc-by,gpl,mit") and row[7] == 0.8
     assert scan(b"// SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception */ int x;")[5] == "apache"
@@ -75,3 +75,17 @@ def test_tags_and_notices():
     assert row[:6] == (9, 4, 0, 7, "apache,gpl,mit", "apache,gpl,mit")
     assert scan(b"mitlicense mit licenses commit license")[1] == 0
     assert scan(("x " * 100_000 + "mit license").encode())[:4] == (100_002, 1, 100_000, 100_000)
+
+
+@pytest.mark.parametrize("tag", [
+    b'license-expression = "MIT OR Apache-2.0"', b"license-expression='MIT OR Apache-2.0'", b'"license-expression": "MIT OR Apache-2.0", "x": 1',
+    b"SPDX-License-Identifier: 'MIT OR Apache-2.0'", b"spdx-license-identifier:MIT OR Apache-2.0", b"License-Expression=MIT or Apache-2.0 # why",
+])
+def test_quoted_tags(tag):
+    row = licenses.Scanner().scan(b"first line\n" + tag + b"\nGPL-2.0 is on the next line")
+    assert row[5] == "apache,mit" and row[6] >= 0.95
+
+
+def test_tags_without_an_expression():
+    for text in (b"SPDX-License-Identifier", b"license-expression is a key", b'license-expression = ""', b"license-expression:"):
+        assert licenses.Scanner().scan(text)[5:7] == ("", 0.0)
