@@ -70,62 +70,65 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
 BUCKET_DIGITS = 3
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
-        seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken, whole_reps, extra_words, source per document.
-
-    Null text: size 0, nothing taken.  Null source: a source of its own, last in
-    order.  Repeated rows are documents of their own (equal ones are
-    interchangeable).  An empty table gives an empty table.  An all-empty source
-    has target 0.
-    """
-    sized = cut_lineage(docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        word_count(F.col(text_col)).alias("size")))
+def _planned(docs: DataFrame, carried: list[Column], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """Every row's part in the mix, with the ``carried`` columns of the row itself."""
+    source_id = F.col(id_col).cast("long")
+    # The text is part of the place, so rows with one id, or none, spread over the order like others.
+    place = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(source_id.cast("string"), F.lit("null")), F.lit(":"),
+                           F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    # A null source is a group like any other, so joins compare null-safe through a string key.
+    source = F.col(source_col).cast("string")
+    key = F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
+    sized = cut_lineage(docs.select(source_id.alias("doc_id"), source.alias("source"), word_count(F.col(text_col)).alias("size"),
+                                    place.alias("place"), F.substring(place, 1, BUCKET_DIGITS).alias("bucket"),
+                                    key.alias("skey"), *carried))
     targets = cut_lineage(source_targets(
         sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs))
-
-    keyed = (sized
-             .withColumn("place", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
-             .withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS)))
-    # A null source is a group like any other, so joins compare null-safe through a string key.
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("skey")
-    buckets = keyed.groupBy(key, "bucket").agg(F.sum("size").alias("held"))
+    buckets = sized.groupBy("skey", "bucket").agg(F.sum("size").alias("held"))
     earlier = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut_lineage(buckets.select(
         "skey", "bucket", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("offset")))
     within = (Window.partitionBy("skey", "bucket").orderBy("place", "doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
     # Few sources, measured size: the planner broadcasts this table by itself.
-    per_source = targets.select(key, "source_size", "target")
-    placed = (keyed.select("doc_id", "source", "size", "place", "bucket", key)
-              .withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    target_key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("skey")
+    per_source = targets.select(target_key, "source_size", "target")
+    placed = (sized.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
               .join(offsets, ["skey", "bucket"]).join(per_source, "skey"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.round(F.col("target") - F.col("whole_reps") * F.col("source_size")).cast("long")
     extra = F.greatest(F.lit(0).cast("long"),
                        F.least(F.col("size"), rest - (F.col("offset") + F.col("inner"))))
-    return (placed.withColumn("whole_reps", whole.cast("long")).withColumn("extra_words", extra)
-            .select("doc_id", "size", "source_size", "target",
-                    (F.col("whole_reps") * F.col("size") + F.col("extra_words")).alias("taken"),
-                    "whole_reps", "extra_words", "source"))
+    return placed.withColumn("whole_reps", whole.cast("long")).withColumn("extra_words", extra)
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, size, source_size, target, taken, whole_reps, extra_words, source per document.
+
+    Options: id_col, text_col, source_col, weights, share, max_epochs, seed.
+    Null text: size 0, nothing taken.  Null source: a source of its own, last in
+    order.  Null and repeated ids: every row is a document of its own, decided by
+    itself (equal rows are interchangeable).  Very long texts count whole.  An
+    empty table gives an empty table.  An all-empty source has target 0.
+    """
+    return _planned(docs, [], **options).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("whole_reps") * F.col("size") + F.col("extra_words")).alias("taken"), "whole_reps", "extra_words", "source")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as the mix repeats them, with their own columns.
 
-    Each document appears ``whole_reps`` times; the fractional repetition adds
-    one more row where it takes at least half of the document's words.  The
-    repeat count is decided per document id, so copies of one id share it.
+    Each row appears ``whole_reps`` times; the fractional repetition adds one
+    more where it takes at least half of the document's words.  Rows are
+    decided one by one, whatever their ids; nulls, empty and very long texts
+    and the empty table as in :func:`mix`.
     """
-    id_col = options.get("id_col", "doc_id")
-    plan = mix(docs, **options)
-    reps = (plan.groupBy(F.col("doc_id").alias("__mix_id"))
-            .agg(F.max(F.col("whole_reps") + F.when((F.col("extra_words") > 0)
-                                                    & (F.col("extra_words") * 2 >= F.col("size")), 1).otherwise(0))
-                 .cast("int").alias("__mix_reps"))
-            .where(F.col("__mix_reps") > 0))
-    joined = docs.join(reps, F.col(id_col).eqNullSafe(F.col("__mix_id")))
-    return (joined.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_reps"))))
-            .select(*[F.col(c) for c in docs.columns]))
+    # Under positions, so that no column name clashes.
+    carried = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]).alias("row")
+    part = (F.col("extra_words") > 0) & (F.col("extra_words") * 2 >= F.col("size"))
+    reps = (F.col("whole_reps") + F.when(part, 1).otherwise(0)).cast("int")
+    return (_planned(docs, [carried], **options).select("row", reps.alias("reps")).where("reps > 0")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("reps"))))
+            .select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)]))

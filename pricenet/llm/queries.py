@@ -81,7 +81,7 @@ ORACLES["op4_source_mix"] = r"""
 WITH sized AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS place
   FROM documents),
 sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rk FROM sources),

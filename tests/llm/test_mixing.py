@@ -83,3 +83,21 @@ def test_mixed_documents_repeat_rows(spark):
     for r in mixing.mixed_documents(docs).collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + 10
     assert all(abs(got.get(i, 0) - plan[i]) <= 5 for i in plan)
+
+
+@pytest.mark.parametrize("id_of", [lambda i: i % 50, lambda i: None if i < 40 else i, lambda i: None, lambda i: 7])
+def test_rows_are_decided_by_themselves(spark, id_of):
+    """Repeated and null ids over several sources: every source meets its target within one document."""
+    docs = spark.createDataFrame([(id_of(i), f"w{i} " * 10, "abc"[i % 3], i) for i in range(240)],
+                                 "doc_id long, text string, source string, row long")
+    plan = mixing.mix(docs).collect()
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and len(plan) == 240
+    targets = {r.source: r.target for r in plan}
+    for source, target in targets.items():
+        assert abs(sum(r.taken for r in plan if r.source == source) - target) <= 1
+        assert abs(sum(10 for r in mixed.collect() if r.source == source) - target) <= 10
+    times = {}
+    for r in mixed.collect():
+        times[r.row] = times.get(r.row, 0) + 1
+    assert max(times.values()) <= 2
