@@ -2,8 +2,8 @@
 compresses better than one of bad documents reads like the good ones.
 
 Two zstandard dictionaries are built, of labelled good and labelled bad text.
-Each holds an even share of all its documents, so rare kinds of text are in it
-as well.  A text is compressed in independent blocks with each, so long texts
+Each holds an even share of all its documents, in pieces from all over each
+text, so rare kinds of text and what stands late in them are in it as well.  A text is compressed in independent blocks with each, so long texts
 cannot outgrow their dictionary.  The difference of the two sizes per byte is
 calibrated into a probability by logistic regression.  A term for shortness and
 its product with the difference let the calibration trust the coarse
@@ -13,9 +13,10 @@ The calibration learns from every labelled row of the sample: the rows are cut
 into ``FOLDS`` parts, and each part is compressed with dictionaries of the
 other parts only.  The dictionaries that score hold all parts.
 
-Labels are learned from a bounded sample (``PER_CLASS`` rows of each class of
-at most ``FIT_CHARS`` characters, in the order of a hash of their id).  Scores
-read whole texts, and nothing but the text.
+Labels are learned from a bounded sample (``PER_CLASS`` rows of each class, in
+the order of a hash of their id; of a text over ``FIT_CHARS`` characters, as many
+from twenty places in it).  Scores read whole texts of any length, and nothing
+but the text.  An empty table of documents gives an empty table.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ FIT_CHARS = 20_000
 FOLDS = 5
 DICTIONARY_BYTES = 2_097_152
 BLOCK = 1024
+# Pieces of a text that stand for it in a dictionary.
+PIECE = 256
 LEVEL = 7
 THRESHOLD = 0.7
 SHORT_BYTES = 64.0
@@ -55,13 +58,22 @@ def blocks(text: bytes) -> list[bytes]:
     return [text[i:i + BLOCK] for i in range(0, len(text), BLOCK)]
 
 
+def spread(text: bytes, share: int) -> bytes:
+    """``share`` bytes of a text, in pieces at even distances over all of it."""
+    if share >= len(text):
+        return text
+    n = max(1, share // PIECE)
+    size = share // n
+    return b"".join(text[at:at + size] for at in (k * (len(text) - size) // max(1, n - 1) for k in range(n)))
+
+
 def build_dictionary(texts: list[bytes]) -> bytes:
-    """The starts of all texts, up to one length that lets them fill the dictionary."""
+    """An even share of every text, up to one length that lets them fill the dictionary."""
     left, share = DICTIONARY_BYTES, 0
     for waiting, length in zip(range(len(texts), 0, -1), sorted(map(len, texts))):
         share = min(length, left // waiting)
         left -= share
-    return b"".join(t[:share] for t in texts)
+    return b"".join(spread(t, share) for t in texts)
 
 
 @dataclass
@@ -126,8 +138,13 @@ def usable_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
 def labelled_sample(docs: DataFrame, one: DataFrame, id_col: str, text_col: str) -> list:
     """(doc_id, text, label) of the learning rows in a fixed mixed order; bounded, so it may be collected."""
     place = F.xxhash64("doc_id")
-    texts = id_and_text(docs, id_col, text_col).where((F.length("text") > 0) & (F.length("text") <= FIT_CHARS))
-    # Twice the rows, as some labels have no document or one that is too long.
+    # A longer text is learned from by twenty pieces at even distances.
+    size = FIT_CHARS // 20
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda k: F.substring(
+        "text", (1 + F.floor(k * (F.length("text") - size) / 19)).cast("int"), F.lit(size)))
+    whole = F.when(F.length("text") <= FIT_CHARS, F.col("text")).otherwise(F.array_join(pieces, ""))
+    texts = id_and_text(docs, id_col, text_col).where(F.length("text") > 0).withColumn("text", whole)
+    # Twice the rows, as some labels have no document.
     chosen = [one.where(F.col("label") == k).orderBy(place, "doc_id").limit(2 * PER_CLASS) for k in (0, 1)]
     found = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), F.col("id") == F.col("doc_id"))
     rows = [found.where(F.col("label") == k).groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -1,8 +1,10 @@
 """Quality classifier: held-out accuracy, determinism and edge rows."""
 
+import math
 import zlib
 
 import pytest
+import zstandard
 
 from pricenet.llm import quality, queries
 from tests.llm.helpers import awkward_docs, empty_docs
@@ -80,3 +82,38 @@ def test_keep_good_follows_the_scores(spark):
     docs, labels = small(spark, lambda i: True)
     want = {r.doc_id for r in quality.score_quality(docs, labels).collect() if r.predicted}
     assert {r.doc_id for r in quality.keep_good(docs, labels).collect()} == want
+
+
+def test_scores_by_plain_compression(spark):
+    """Every score from the fitted dictionaries and weights, block by block, without the operator's code."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(docs, labels)
+    sizes = {}
+    for name, content in (("good", model.good), ("bad", model.bad)):
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        c = zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+        sizes[name] = lambda text, c=c: sum(len(c.compress(text[i:i + 1024])) for i in range(0, len(text), 1024))
+    scores = {r.doc_id: r.score for r in quality.score_quality(docs, labels).collect()}
+    assert len(scores) == docs.count()
+    for r in docs.collect():
+        text = (r.text or "").encode()
+        x = 100 * (sizes["bad"](text) - sizes["good"](text)) / max(1, len(text))
+        short = 64 / (64 + len(text))
+        z = x * model.weights[0] + short * model.weights[1] + x * short * model.weights[2] + model.weights[3]
+        assert abs(scores[r.doc_id] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
+
+
+def test_dictionaries_hold_all_parts_of_texts():
+    text = b"".join(b"%06d" % k for k in range(4000))
+    kept = quality.spread(text, 2048)
+    assert len(kept) == 2048 and kept[:6] == text[:6] and kept[-6:] == text[-6:]
+    places = [text.index(kept[at:at + 250]) for at in range(0, 2048, 256)]
+    assert all(a < b for a, b in zip(places, places[1:])) and max(b - a for a, b in zip(places, places[1:])) < len(text) / 6
+    assert quality.spread(b"short", 100) == b"short" and quality.spread(text, 10) == text[:10] and quality.spread(text, 0) == b""
+
+
+def test_long_texts_teach(spark):
+    docs = spark.createDataFrame([(i, ("good words here. " if i % 2 else "### !!! $$$ ") * 4000) for i in range(40)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    assert {(r.doc_id % 2, r.predicted) for r in quality.score_quality(docs, labels).collect()} == {(0, 0), (1, 1)}
