@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pricenet.functions.exprs import clip, feature_key
 from pricenet.functions.validation import check_roster
-from pricenet.session import GROUP
+from pricenet.session import GROUP, cut_lineage
 
 
 def roster_array(cities: Sequence[str]):
@@ -130,6 +130,77 @@ def cosine_pairs(rfeats: DataFrame) -> DataFrame:
             .select(*GROUP, "u", "v", clip(sim, -1.0, 1.0).alias("sim")))
 
 
+# Slack of the bounds against rounding.
+_SLACK = 1e-9
+
+
+def prefix_index(rfeats: DataFrame, tau: float) -> DataFrame:
+    """The entries of each unit vector that a pair with cosine >= tau must share one of.
+
+    Features are ordered by how few cities of their slice have them.  What
+    follows a place of a vector can add to a product at most the smaller of its
+    norm and the sum of its values times each feature's greatest value in the
+    slice.  A vector's prefix ends where that falls below tau: if two vectors
+    share nothing in their prefixes, all they share lies behind the end of the
+    shorter one, and their cosine is below tau.
+
+    ``(year, category, city, feature, unit, place, last, rest)``: ``place`` orders
+    features, ``last`` is that of the prefix's end and ``rest`` the bound behind it.
+    """
+    city = Window.partitionBy(*GROUP, "city")
+    unit = rfeats.select(*GROUP, "city", "feature", (F.col("value") / F.sqrt(
+        F.sum(F.col("value") * F.col("value")).over(city))).alias("unit"))
+    spread = unit.groupBy(*GROUP, "feature").agg(F.count("*").alias("held"), F.max(F.abs("unit")).alias("greatest"))
+    placed = unit.join(spread, [*GROUP, "feature"]).withColumn("place", F.struct("held", "feature"))
+    behind = city.orderBy(F.col("place").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def bound(over):
+        return F.least(F.sqrt(F.sum(F.col("unit") * F.col("unit")).over(over)), F.sum(F.abs("unit") * F.col("greatest")).over(over))
+
+    after = city.orderBy(F.col("place").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bounded = placed.withColumns({"here": bound(behind), "rest": F.coalesce(bound(after), F.lit(0.0))})
+    prefix = bounded.where(F.col("here") >= tau - _SLACK)
+    ends = prefix.groupBy(*GROUP, "city").agg(F.max("place").alias("last"), F.max_by("rest", "place").alias("rest"))
+    return prefix.drop("rest", "here", "held", "greatest").join(ends, [*GROUP, "city"])
+
+
+def candidate_pairs(index: DataFrame, tau: float) -> DataFrame:
+    """(year, category, u, v) that share a prefix entry and whose bound reaches tau.
+
+    The bound adds what the prefixes share to what the rest behind the shorter
+    prefix can add at most.  A key of the join holds one row a city of the roster.
+    """
+    own = [*GROUP, "feature"]
+    a = index.select(*own, *[F.col(c).alias(f"{c}_a") for c in ("city", "unit", "last", "rest")])
+    b = index.select(*own, *[F.col(c).alias(f"{c}_b") for c in ("city", "unit", "last", "rest")])
+    rest = F.min(F.when(F.col("last_a") <= F.col("last_b"), F.col("rest_a")).otherwise(F.col("rest_b")))
+    return (a.join(b, own).where(F.col("city_a") < F.col("city_b"))
+            .groupBy(*GROUP, F.col("city_a").alias("u"), F.col("city_b").alias("v"))
+            .agg(F.sum(F.col("unit_a") * F.col("unit_b")).alias("shared"), rest.alias("rest"))
+            .where(F.col("shared") + F.col("rest") >= tau - _SLACK).select(*GROUP, "u", "v"))
+
+
+def similar_pairs(rfeats: DataFrame, tau: float) -> DataFrame:
+    """V7 for pairs with ``sim >= tau`` > 0 alone: no pair is compared that cannot reach tau.
+
+    Same columns and values as :func:`cosine_pairs`.  Candidates come from a
+    prefix-filtered index (signed values too) and are verified by whole products.
+    """
+    if not tau > 0:
+        raise ValueError("a pair without a common feature has similarity 0: tau must be above it")
+    rfeats = cut_lineage(rfeats)
+    candidates = cut_lineage(candidate_pairs(cut_lineage(prefix_index(rfeats, tau)), tau))
+    sizes = cut_lineage(norms(rfeats))
+    a = rfeats.select(*GROUP, F.col("city").alias("u"), "feature", F.col("value").alias("a"))
+    b = rfeats.select(*GROUP, F.col("city").alias("v"), "feature", F.col("value").alias("b"))
+    dots = (candidates.join(a, [*GROUP, "u"]).join(b, [*GROUP, "v", "feature"])
+            .groupBy(*GROUP, "u", "v").agg(F.sum(F.col("a") * F.col("b")).alias("dot")))
+    for c in ("u", "v"):
+        dots = dots.join(sizes.select(*GROUP, F.col("city").alias(c), F.col("norm").alias(f"n{c}")), [*GROUP, c])
+    sim = clip(F.col("dot") / (F.col("nu") * F.col("nv")), -1.0, 1.0)
+    return dots.select(*GROUP, "u", "v", sim.alias("sim")).where(F.col("sim") >= tau)
+
+
 def roster_pairs(groups: DataFrame, cities: Sequence[str]) -> DataFrame:
     """Every roster pair ``u < v`` of every slice, generated without a join.
 

@@ -75,7 +75,11 @@ class Analysis:
     # ------------------------------------------------------------ networks
     @cached_property
     def all_edges(self) -> DataFrame:
-        return N.threshold_edges(self.pairs, self.tau, self.weighted, self.groups, self.cities)
+        # Where all similarities are at hand, or a zero makes an edge, they are filtered; else only
+        # pairs that can reach tau are compared.
+        if self.tau == 0 or "pairs" in self.__dict__:
+            return N.threshold_edges(self.pairs, self.tau, self.weighted, self.groups, self.cities)
+        return N.threshold_edges(V.similar_pairs(self.roster_features, self.tau), self.tau, self.weighted)
 
     @cached_property
     def metadata(self) -> DataFrame:
@@ -125,8 +129,8 @@ class Analysis:
 
     @cached_property
     def path_summary(self) -> DataFrame:
-        """Per-node reach and distance summary (one pass over paths)."""
-        return self._keep(P.path_summary(self.paths))
+        """Per-node reach and distance summary, without any pair of nodes."""
+        return self._keep(P.reach_summary(self.nodes, self.edges))
 
     @cached_property
     def components(self) -> DataFrame:
@@ -151,6 +155,8 @@ class Analysis:
 
     @cached_property
     def betweenness(self) -> DataFrame:
+        if self.n > P.BATCH_SOURCES:
+            return P.betweenness_by_batches(self.nodes, self.edges, self.n)
         return P.betweenness(self.nodes, self.edges, self.paths, self.n)
 
     @cached_property

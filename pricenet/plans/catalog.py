@@ -249,6 +249,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "similarity_matrix": lambda s, d: V.similarity_matrix(main(s, d).pairs, main(s, d).groups, ctx(s, d).roster),
     # networks
     "threshold_edges": _q(lambda a: a.edges),
+    "threshold_join": lambda s, d: N.threshold_edges(V.similar_pairs(main(s, d).roster_features, TAU), TAU),
+    "threshold_join_tau075": lambda s, d: N.threshold_edges(V.similar_pairs(main(s, d).roster_features, 0.75), 0.75),
     "weighted_edges": lambda s, d: ctx(s, d).analysis(weighted=True).edges,
     "network_nodes": _q(lambda a: a.nodes),
     "network_adjacency": _q(lambda a: N.adjacency(a.edges)),

@@ -398,6 +398,10 @@ ORACLES: dict[str, str] = {
                                ["groups", "roster", "pairs"]),
     "threshold_edges": build(f"SELECT year, category, u, v, {_r('sim', 'sim')}, {_r('weight', 'weight')} FROM edges",
                              ["edges"]),
+    "threshold_join": build(f"SELECT year, category, u, v, {_r('sim', 'sim')}, {_r('weight', 'weight')} FROM edges",
+                            ["edges"]),
+    "threshold_join_tau075": build(f"SELECT year, category, u, v, {_r('sim', 'sim')}, {_r('weight', 'weight')} FROM edges",
+                                   ["edges"], tau=0.75),
     "weighted_edges": build(f"SELECT year, category, u, v, {_r('sim', 'sim')}, {_r('sim', 'weight')} FROM edges",
                             ["edges"]),
     "network_nodes": build("SELECT year, category, node_id, city FROM nodes", ["nodes"]),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,36 +97,60 @@ def run_folder(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", "run")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+# Sub-folders of open :func:`scratch` blocks, innermost last.
+_SCRATCH: list[str] = []
+
+
+def _tables_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricenet-tables/{run_folder(spark)}"
+
+
+def cut_lineage(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write ``df`` as a parquet table in the checkpoint folder and read it back.
 
     Later plans start from a compact file scan instead of re-planning (and,
     after an executor loss, re-running) the whole lineage.  Unlike an RDD
     checkpoint, the file scan carries size statistics, so the planner can
     broadcast a small result behind its size threshold and prune columns.
+    With ``keep`` the table outlives a :func:`scratch` block.
     """
-    return cut_lineage_counted(df, count=False)[0]
+    return cut_lineage_counted(df, count=False, keep=keep)[0]
 
 
-def cut_lineage_counted(df: DataFrame, count: bool = True) -> tuple[DataFrame, int | None]:
+def cut_lineage_counted(df: DataFrame, count: bool = True, keep: bool = False) -> tuple[DataFrame, int | None]:
     """:func:`cut_lineage` that also returns the number of rows written.
 
     The count is read from the footers of the written files.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/pricenet-tables/{run_folder(spark)}/{uuid.uuid4().hex}"
+    folder = [_tables_folder(spark), *([] if keep else _SCRATCH)]
+    path = "/".join([*folder, uuid.uuid4().hex])
     df.write.mode("overwrite").parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     return written, written.count() if count else None
 
 
+def _delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables cut within the block are deleted at its end, but those with ``keep``."""
+    _SCRATCH.append(f"scratch-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        folder = "/".join([_tables_folder(spark), *_SCRATCH])
+        _SCRATCH.pop()
+        _delete_folder(spark, folder)
+
+
 def drop_run_tables(spark: SparkSession) -> None:
     """Delete the tables that :func:`cut_lineage` wrote for this application.
 
     For the end of a job: DataFrames built on those tables cannot be read
     afterwards.
     """
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricenet-tables/{run_folder(spark)}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete_folder(spark, _tables_folder(spark))

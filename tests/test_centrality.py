@@ -1,5 +1,7 @@
 """Closed-form centralities (C0-C10) on small graphs."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ def _table(spark, graphs, n):
     nodes, edges, meta = graph_frames(spark, graphs)
     deg = C.degree_centrality(N.degree_table(nodes, edges), n)
     sp = P.shortest_paths(nodes, edges)
-    clo = P.closeness(nodes, sp, n)
+    clo = P.closeness_from_summary(P.reach_summary(nodes, edges), n)
     btw = P.betweenness(nodes, edges, sp, n)
     eig = E.eigenvector(nodes, edges, meta)
     return C.centrality_table(nodes, deg, clo, btw, eig)
@@ -169,3 +171,50 @@ def test_components_without_paths(spark):
     assert got["n39"] == "n00" and {got[c] for c in ("n01", "n02", "n03", "n38")} == {"n01"} and got["n10"] == "n10"
     counts = {r.category: (r.num_components, r.is_connected) for r in K.component_counts(comp).collect()}
     assert counts == {"chain": (1, True), "parts": (36, False)}
+
+
+def _random_graphs(seed, n, densities):
+    rng = np.random.default_rng(seed)
+    names = [f"v{i:03d}" for i in range(n)]
+    return {(2020 + k, "R"): (names, [(names[i], names[j]) for i in range(n) for j in range(i + 1, n) if rng.random() < p])
+            for k, p in enumerate(densities)}
+
+
+def test_reach_summary_equals_all_pairs(spark):
+    """Bit-parallel search over several words of sources against the paths of all pairs; a chain."""
+    graphs = _random_graphs(1, 150, [0.02, 0.2])
+    nodes, edges, _ = graph_frames(spark, graphs)
+    key = lambda df: sorted((r.year, r.city, r.reached, r.dist_sum, r.eccentricity) for r in df.collect())
+    assert key(P.reach_summary(nodes, edges)) == key(P.path_summary(P.shortest_paths(nodes, edges)))
+    names = graphs[(2020, "R")][0]
+    nodes, edges, _ = graph_frames(spark, {(2030, "chain"): (names, list(zip(names, names[1:11])))})
+    got = {r.city: (r.reached, r.dist_sum, r.eccentricity) for r in P.reach_summary(nodes, edges).collect()}
+    assert got["v000"] == (10, 55, 10) and got["v005"] == (10, 30, 5) and got["v149"] == (0, 0, 0)
+
+
+@pytest.mark.parametrize("batch", [3, 12])
+def test_betweenness_by_source_batches(spark, batch):
+    from pricenet import session
+
+    graphs = {**_random_graphs(2, 12, [0.25]), (2021, "p"): (STAR[0] + [f"x{i}" for i in range(7)], STAR[1])}
+    nodes, edges, _ = graph_frames(spark, graphs)
+    key = lambda df: {(r.year, r.city): round(r.b_i, 12) for r in df.collect()}
+    whole = key(P.betweenness(nodes, edges, P.shortest_paths(nodes, edges), 12))
+    assert key(P.betweenness_by_batches(nodes, edges, 12, batch)) == whole and max(whole.values()) > 0
+    folder = session._tables_folder(spark).removeprefix("file:")
+    assert not [x for x in os.listdir(folder) if x.startswith("scratch-")]
+    assert {r.b_i for r in P.betweenness_by_batches(nodes, edges.limit(0), 12, batch).collect()} == {0.0}
+
+
+def test_components_of_a_long_chain(spark):
+    """One pass whatever the diameter; the edges lie in many tasks, most of them many times."""
+    from pricenet.operators import components as K
+
+    chain = [f"n{i:05d}" for i in range(10_000)]
+    nodes, edges, _ = graph_frames(spark, {(2024, "chain"): (chain, list(zip(chain, chain[1:]))), (2024, "none"): (["a", "b"], [])})
+    spread = edges.union(edges.where("u < 'n03000'")).repartition(13)
+    comp = K.components(nodes, spread)
+    assert {(r.category, r.component) for r in comp.select("category", "component").distinct().collect()} == {
+        ("chain", "n00000"), ("none", "a"), ("none", "b")}
+    assert comp.count() == 10_002 and set(comp.columns) == {*nodes.columns, "component"}
+    assert comp._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 2

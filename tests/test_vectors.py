@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +102,34 @@ def test_slice_filter(spark):
     rows = [("A", 2023, "Food", "2023-01", "rice", 1.0), ("A", 2024, "Food", "2024-01", "rice", 1.0),
             ("A", 2024, "Fuel", "2024-01", "oil", 1.0)]
     assert V.slice_filter(_obs(spark, rows), 2024, "Food").count() == 1
+
+
+@pytest.mark.parametrize("seed, share, tau", [(1, 1.0, 0.2), (2, 0.3, 0.5), (3, 0.15, 0.75), (4, 0.5, 0.01), (5, 0.05, 0.9), (6, 0.4, 1.0)])
+def test_threshold_join_equals_all_pairs(spark, seed, share, tau):
+    """Signed sparse vectors, with zero rows, equal rows and single features."""
+    rng = np.random.default_rng(seed)
+    matrix = rng.normal(size=(40, 30)) * (rng.random((40, 30)) < share) * rng.choice([0.1, 1, 10], size=(1, 30))
+    matrix[3] = 0
+    matrix[5] = 2 * matrix[4]
+    matrix[6] = -matrix[4]
+    matrix[7] = np.eye(30)[2]
+    obs, cities = _matrix_obs(spark, matrix.tolist())
+    rfeats = V.roster_features(V.features(obs), cities)
+    # A pair of parallel vectors may miss a threshold of one by rounding.
+    limit = tau - 1e-12
+    all_pairs = {(r.u, r.v): r.sim for r in V.cosine_pairs(rfeats).collect() if r.sim >= limit}
+    found = {(r.u, r.v): r.sim for r in V.similar_pairs(rfeats, limit).collect()}
+    assert found.keys() == all_pairs.keys() and all(abs(found[k] - s) < 1e-9 for k, s in all_pairs.items())
+    assert ("C4", "C5") in found
+
+
+def test_candidates_leave_out_what_cannot_reach_tau(spark):
+    """Blocks of cities with features of their own and one weak common feature: only pairs in a block are compared."""
+    matrix = [[0.05] + [5.0 + (i + j) % 3 if j // 4 == i // 5 else 0.0 for j in range(16)] for i in range(20)]
+    obs, cities = _matrix_obs(spark, matrix)
+    rfeats = V.roster_features(V.features(obs), cities)
+    assert V.cosine_pairs(rfeats).count() == 190
+    got = V.candidate_pairs(V.prefix_index(rfeats, 0.5), 0.5).collect()
+    assert len(got) == 40 and all(int(r.u[1:]) // 5 == int(r.v[1:]) // 5 for r in got)
+    with pytest.raises(ValueError, match="above"):
+        V.similar_pairs(rfeats, 0.0)
