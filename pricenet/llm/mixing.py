@@ -80,9 +80,10 @@ def _planned(docs: DataFrame, carried: list[Column], id_col: str = "doc_id", tex
     # A null source is a group like any other, so joins compare null-safe through a string key.
     source = F.col(source_col).cast("string")
     key = F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
-    sized = cut_lineage(docs.select(source_id.alias("doc_id"), source.alias("source"), word_count(F.col(text_col)).alias("size"),
-                                    place.alias("place"), F.substring(place, 1, BUCKET_DIGITS).alias("bucket"),
-                                    key.alias("skey"), *carried))
+    plan = [source_id.alias("doc_id"), source.alias("source"), word_count(F.col(text_col)).alias("size"), place.alias("place"),
+            F.substring(place, 1, BUCKET_DIGITS).alias("bucket"), key.alias("skey")]
+    # Written without the carried columns: whole rows are read again instead of stored twice.
+    sized = cut_lineage(docs.select(*plan))
     targets = cut_lineage(source_targets(
         sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs))
     buckets = sized.groupBy("skey", "bucket").agg(F.sum("size").alias("held"))
@@ -94,7 +95,8 @@ def _planned(docs: DataFrame, carried: list[Column], id_col: str = "doc_id", tex
     # Few sources, measured size: the planner broadcasts this table by itself.
     target_key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("skey")
     per_source = targets.select(target_key, "source_size", "target")
-    placed = (sized.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    rows = docs.select(*plan, *carried) if carried else sized
+    placed = (rows.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
               .join(offsets, ["skey", "bucket"]).join(per_source, "skey"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.round(F.col("target") - F.col("whole_reps") * F.col("source_size")).cast("long")
