@@ -129,7 +129,9 @@ class Analysis:
 
     @cached_property
     def path_summary(self) -> DataFrame:
-        """Per-node reach and distance summary, without any pair of nodes."""
+        """Per-node reach and distance summary: of the paths where they are at hand, else without any pair of nodes."""
+        if "paths" in self.__dict__:
+            return self._keep(P.path_summary(self.paths))
         return self._keep(P.reach_summary(self.nodes, self.edges))
 
     @cached_property
@@ -165,8 +167,10 @@ class Analysis:
 
     @cached_property
     def centrality(self) -> DataFrame:
+        # Betweenness first: where it searches all paths, closeness needs no search of its own.
+        betweenness = self.betweenness
         return self._keep(C.centrality_table(self.nodes, self.degree_centrality, self.closeness,
-                                             self.betweenness, self.eigenvector))
+                                             betweenness, self.eigenvector))
 
     # ------------------------------------------------------------ scores
     @cached_property
