@@ -31,7 +31,9 @@ from .columns import id_and_text, runs_of
 from .tokenizer_files import broadcast_file, per_worker
 
 SHORT = 128
+# Units whose ids a worker holds, and their longest in characters.
 HELD = 250_000
+HELD_CHARS = 64
 NO_RANK = np.int64(1 << 40)
 # Long texts are encoded in parts of about so many characters, cut at spaces.
 PIECE = 1_000_000
@@ -190,15 +192,19 @@ class Codec:
         text = self.normalizer.normalize_str(unit)
         return [bytes(map(self.byte_of.__getitem__, w)) for w, _ in self.splitter.pre_tokenize_str(text)]
 
-    def learn(self, units: set[str]) -> None:
+    def learn(self, units: set[str]) -> dict[str, bytes]:
+        """The ids of all units; those of short ones stay in the cache."""
         missing = units - self.held.keys()
         if len(self.held) + len(missing) > HELD:
             held = self.held
             self.held = {u: held[u] for u in units & held.keys()}
         cut = {u: self.words(u) for u in missing}
         coded = self.merges.encode({w for ws in cut.values() for w in ws if isinstance(w, bytes)})
+        long = {}
         for u, ws in cut.items():
-            self.held[u] = b"".join(coded[w] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in ws)
+            ids = b"".join(coded[w] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in ws)
+            (self.held if len(u) <= HELD_CHARS else long)[u] = ids
+        return {u: self.held[u] for u in units - long.keys()} | long if long else self.held
 
     @staticmethod
     def units(text: str) -> list[str]:
@@ -211,8 +217,7 @@ class Codec:
         every: set[str] = set()
         for c in cut:
             every.update(c)
-        self.learn(every)
-        get = self.held.__getitem__
+        get = self.learn(every).__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
     def decode(self, ids: bytes) -> str:

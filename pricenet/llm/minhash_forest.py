@@ -47,8 +47,9 @@ BLOCK = 256
 COLUMNS = 8192
 # Standard deviations by which a signature may fall short of the threshold.
 DEVIATIONS = 5.0
-# Words whose hashes a worker holds, and shingles that are hashed at a time.
+# Words whose hashes a worker holds, their longest in bytes, and shingles that are hashed at a time.
 HELD = 200_000
+HELD_BYTES = 64
 STEP = 4096
 
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -73,11 +74,14 @@ class Shingler:
         self.held: dict[bytes, int] = {}
 
     def word_hashes(self, words: list[bytes]) -> np.ndarray:
-        missing = set(words) - self.held.keys()
+        distinct = set(words)
+        long = {w: xxhash.xxh64_intdigest(w) for w in distinct if len(w) > HELD_BYTES}
+        missing = distinct - self.held.keys() - long.keys()
         if len(self.held) + len(missing) > HELD:
-            self.held = {w: self.held[w] for w in set(words) & self.held.keys()}
+            self.held = {w: self.held[w] for w in distinct & self.held.keys()}
         self.held.update((w, xxhash.xxh64_intdigest(w)) for w in missing)
-        return np.fromiter(map(self.held.__getitem__, words), dtype=np.uint64, count=len(words))
+        known = {w: self.held[w] for w in distinct - long.keys()} | long if long else self.held
+        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
     def combined(self, h: np.ndarray, k: int) -> np.ndarray:
         n = len(h) - k + 1

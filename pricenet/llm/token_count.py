@@ -1,7 +1,7 @@
 """Token counts by a map-side two-tier lookup.
 
 A text is cut into pre-tokens that the tokenizer never merges across: a run
-up to the next single space.  Most of them are frequent ones.  Their token
+up to the next single space, and what lies between longer white space.  Most of them are frequent ones.  Their token
 counts sit in a compact table of bounded size that is broadcast (tier one);
 the others go through a bounded cache in each Python worker, whose misses the
 tokenizer encodes (tier two).  No pre-token is shuffled: a first pass keeps a
@@ -26,22 +26,33 @@ from .columns import id_and_text, runs_of
 from .tokenizer_files import broadcast_file, per_worker, special_tokens
 
 # Size bounds: pre-tokens in the broadcast table, its longest one in characters,
-# candidates per partition, and pre-tokens held by a worker.
+# candidates per partition, pre-tokens held by a worker, and their longest.
 TABLE_ENTRIES = 32_768
 TABLE_CHARS = 32
 PER_PARTITION = 8_192
 HELD = 300_000
+HELD_CHARS = 64
 # Texts above this are counted piece by piece.
 PIECE = 1_000_000
 TOKEN_LIMIT = 512
 
 # A space whose both neighbours are white space (or the end) is not a place to cut.
 _RUN = re.compile(r"\s (?:\s|\Z)")
+# What the tokenizer's pattern takes for white space (Unicode's White_Space).
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# A stretch of white space but its last character, which goes with the word after it.
+_UNIT = re.compile(f"[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]?[^{_SPACE}]+")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def pre_tokens(text: str) -> list[str]:
-    """Cut before every space (only for texts without a ``_RUN``)."""
+    """Parts that tokenize apart as they do together.
+
+    A text is cut before every space; one with a ``_RUN`` also round its
+    stretches of white space, each of which but its last character is a part.
+    """
+    if _RUN.search(text):
+        return _UNIT.findall(text)
     first, *rest = text.split(" ")
     return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
 
@@ -60,11 +71,13 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(0).to_pylist()
         for start, end in runs_of(texts):
+            here: Counter = Counter()
             for t in texts[start:end]:
-                seen.update(t.split(" "))
+                here.update(t.split(" "))
+            seen.update({w: n for w, n in here.items() if 0 < len(w) < TABLE_CHARS})
             if len(seen) > HELD:
                 seen = Counter(dict(seen.most_common(HELD // 3)))
-    top = [(" " + w, n) for w, n in seen.most_common(PER_PARTITION) if 0 < len(w) < TABLE_CHARS]
+    top = [(" " + w, n) for w, n in seen.most_common(PER_PARTITION)]
     yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()),
                                       pa.array([n for _, n in top], pa.int64())], ["piece", "n"])
 
@@ -95,16 +108,19 @@ class Counts:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def plain(self, text: str) -> bool:
-        return not (_RUN.search(text) or self.special and self.special.search(text))
+        return not (self.special and self.special.search(text))
 
-    def learn(self, units: set[str], table: dict[str, int]) -> None:
-        """Put the counts of the units that neither tier knows into the cache."""
+    def learn(self, units: set[str], table: dict[str, int]) -> dict[str, int]:
+        """Put the counts of short units that neither tier knows into the cache; return those of long ones."""
         missing = list(units - self.held.keys() - table.keys())
         if len(self.held) + len(missing) > HELD:
             held = self.held
             self.held = {u: held[u] for u in units & held.keys()}
         codes = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        self.held.update(zip(missing, map(len, codes), strict=True))
+        long = {}
+        for unit, code in zip(missing, codes, strict=True):
+            (self.held if len(unit) <= HELD_CHARS else long)[unit] = len(code)
+        return long
 
     def count(self, texts: list[str], table: dict[str, int]) -> list[int]:
         cut = [pre_tokens(t) if self.plain(t) else None for t in texts]
@@ -112,8 +128,8 @@ class Counts:
         for c in cut:
             if c:
                 units.update(c)
-        self.learn(units, table)
-        known = {u: n for u in units if (n := table.get(u)) is not None} if table else {}
+        known = self.learn(units, table)
+        known.update((u, n) for u in units if (n := table.get(u)) is not None)
         known.update((u, self.held[u]) for u in units - known.keys())
         get = known.__getitem__
         return [self.whole(t) if c is None else sum(map(get, c)) for t, c in zip(texts, cut, strict=True)]

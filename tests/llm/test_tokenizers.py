@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
-from pricenet.llm import bpe, token_count
+from pricenet.llm import bpe, minhash_forest, token_count
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm.helpers import AWKWARD, awkward_docs, empty_docs
 
@@ -100,6 +100,36 @@ def test_caches_stay_bounded(monkeypatch):
         assert len(codec.held) <= 50 + 42
 
 
+def test_long_words_are_not_held():
+    with open(WORD) as f:
+        codec = bpe.Codec(f.read())
+    with open(BYTE) as f:
+        counts = token_count.Counts(f.read())
+    shingler = minhash_forest.Shingler(3)
+    t, b = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
+    rng = random.Random(4)
+    for _ in range(60):
+        text = "one " + "".join(rng.choice("abcdefgh") for _ in range(9000)) + " two"
+        assert np.frombuffer(codec.encode([text])[0], dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+        assert counts.counts([text], {}) == [len(b.encode(text, add_special_tokens=False).ids)]
+        assert len(shingler.sets([text.encode()])[0]) == 1
+    for held in (codec.held, counts.held, shingler.held):
+        assert 2 <= len(held) <= 3 and max(map(len, held)) <= 64
+
+
+def test_indented_code_goes_through_the_tiers(monkeypatch):
+    with open(BYTE) as f:
+        counts = token_count.Counts(f.read())
+    b = Tokenizer.from_file(BYTE)
+    monkeypatch.setattr(counts, "whole", None)
+    code = "def f(x):\n    if x:\n        return  x\n\n\n    \treturn 0  \n\u3000 y\x1c  \x1c z   "
+    rng = random.Random(8)
+    mixed = ["".join(rng.choice(["a", "b1", " ", " ", "\n", "\t", "\xa0", "\x1c", "\x85", "\u2003", "'s", "."])
+                     for _ in range(60)) for _ in range(400)]
+    for texts in ([code], [code * 30], mixed):
+        assert counts.counts(texts, {}) == [len(b.encode(x, add_special_tokens=False).ids) for x in texts]
+
+
 def test_awkward_rows(spark):
     docs = awkward_docs(spark)
     t, b = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
