@@ -46,9 +46,13 @@ def metric_series_feed(evolution: DataFrame, category: str, metric: str = "densi
 
 
 def overview_counts(observations: DataFrame, tau: float) -> DataFrame:
-    """Number of cities, categories and years, and the threshold."""
-    return observations.agg(
-        F.countDistinct("city").alias("num_cities"),
-        F.countDistinct("category").alias("num_categories"),
-        F.countDistinct("year").alias("num_years"),
-    ).withColumn("threshold", F.lit(check_tau(tau)))
+    """Number of cities, categories and years, and the threshold.
+
+    Each count reads its own column, whose values shrink to distinct ones
+    before their shuffle, so no row is expanded into one for each count.
+    """
+    def distinct(column: str) -> DataFrame:
+        return observations.select(column).distinct().agg(F.count(column).alias(f"num_{column}"))
+    return distinct("city").select(
+        F.col("num_city").alias("num_cities"), distinct("category").scalar().alias("num_categories"),
+        distinct("year").scalar().alias("num_years"), F.lit(check_tau(tau)).alias("threshold"))

@@ -2,10 +2,10 @@
 
 A "graph" is the edge set of one (key, time) pair, e.g. key = category and
 time = year.  Edges are canonical (``u < v``), so set comparison is an
-equi-join on ``(key, u, v)``.  The relation is derived from shared-edge
-counts: E_i is contained in E_j iff |E_i and E_j| = |E_i|.  Only pairs that
-share an edge are ever produced; the self-join on an edge pairs up the
-time points carrying that edge (bounded by the number of time points).
+equi-join on ``(key, u, v)``.  E_i can lie only in graphs that hold its
+rarest edge, so that edge's posting list names all candidates; they are
+confirmed by |E_i and E_j| = |E_i|.  The time points of a frequent edge are
+never paired up.
 """
 
 from __future__ import annotations
@@ -38,18 +38,36 @@ def edge_subset(e1: DataFrame, e2: DataFrame, key_cols: Sequence[str] = ("year",
 
 def containment_relation(edges: DataFrame, key_cols: Sequence[str] = ("category",),
                          time_col: str = "year") -> DataFrame:
-    """All (t_from, t_to) with E_from contained in E_to, diagonal included."""
+    """All (t_from, t_to) with E_from contained in E_to, diagonal included.
+
+    Candidates of a graph are the graphs no smaller than it that hold its
+    rarest edge; each is confirmed on the smaller graph's edges.
+    """
     k = _keys(key_cols)
     e = edges.select(*k, F.col(time_col).alias("_t"), "u", "v").distinct()
-    sizes = e.groupBy(*k, F.col("_t").alias("t_from")).agg(F.count("*").alias("_size"))
-    a = e.select(*k, F.col("_t").alias("t_from"), "u", "v")
-    b = e.select(*k, F.col("_t").alias("t_to"), "u", "v")
-    shared = a.join(b, k + ["u", "v"]).groupBy(*k, "t_from", "t_to").agg(F.count("*").alias("_shared"))
-    return (shared.join(sizes, k + ["t_from"])
-            .where(F.col("_shared") == F.col("_size"))
+    graphs = rarest_edges(e, k)
+    a = graphs.select(*k, F.col("_t").alias("t_from"), F.col("_size").alias("_from"), "_rarest.u", "_rarest.v")
+    holders = (e.join(graphs.select(*k, "_t", "_size"), k + ["_t"])
+               .select(*k, F.col("_t").alias("t_to"), F.col("_size").alias("_to"), "u", "v"))
+    candidates = (a.join(holders, k + ["u", "v"]).where(F.col("_from") <= F.col("_to"))
+                  .select(*k, "t_from", "t_to", "_from"))
+    tests = candidates.join(e.withColumnRenamed("_t", "t_from"), k + ["t_from"])
+    held = tests.join(e.withColumnRenamed("_t", "t_to"), k + ["t_to", "u", "v"], "left_semi")
+    return (held.groupBy(*k, "t_from", "t_to", "_from").agg(F.count("*").alias("_shared"))
+            .where(F.col("_shared") == F.col("_from"))
             .select(*k, "t_from", "t_to"))
 
 
+def rarest_edges(e: DataFrame, k: Sequence[str]) -> DataFrame:
+    """(keys, _t, _size, _rarest): the size of every graph and its edge that the fewest graphs of the key hold.
+
+    ``e`` has distinct rows (keys, _t, u, v); equally rare edges go by (u, v).
+    """
+    frequency = e.groupBy(*k, "u", "v").agg(F.count("*").alias("_held"))
+    return (e.join(frequency, [*k, "u", "v"]).groupBy(*k, "_t")
+            .agg(F.count("*").alias("_size"), F.min(F.struct("_held", "u", "v")).alias("_rarest")))
+
+
 def containment_reduction(rel: DataFrame, key_cols: Sequence[str] = ("category",)) -> DataFrame:
     """T4: cover relation plus the diagonal.
 

@@ -32,6 +32,8 @@ from pricenet.sources import panel
 # Fixed query parameters.
 TAU = 0.2
 NESTED_TAUS = (0.75, 0.5, 0.3, 0.2)
+# Thresholds of even and odd years, for year graphs of which some lie in others.
+TURN_TAUS = (0.2, 0.75)
 SLICE_YEAR, SLICE_CATEGORY = 1998, "ECONOMY"
 RADAR_CITY, RADAR_YEAR = "NATION_1", 1998
 SERIES_CATEGORY = "ECONOMY"
@@ -203,6 +205,13 @@ def q_containment_years(spark, d):
     return TT.containment_relation(e, ["category"], "year")
 
 
+def q_containment_turns(spark, d):
+    """T3 on year graphs of alternating thresholds: some pairs of years are contained, others are not."""
+    pairs = main(spark, d).pairs
+    parts = [N.threshold_edges(pairs.where(F.col("year") % 2 == i), t) for i, t in enumerate(TURN_TAUS)]
+    return TT.containment_relation(reduce(DataFrame.unionByName, parts), ["category"], "year")
+
+
 def q_partial_order(spark, d):
     c = ctx(spark, d)
     return TT.partial_order_check(_nested_edges(c), _nested_relation(c), GROUP, "step")
@@ -292,6 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edge_subset_swapped": q_edge_subset_swapped,
     "containment_relation": lambda s, d: _nested_relation(ctx(s, d)),
     "containment_relation_years": q_containment_years,
+    "containment_relation_turns": q_containment_turns,
     "containment_reduction": lambda s, d: TT.containment_reduction(_nested_relation(ctx(s, d)), GROUP),
     "hasse_edges": lambda s, d: TT.hasse_edges(TT.containment_reduction(_nested_relation(ctx(s, d)), GROUP), GROUP),
     "partial_order_check": q_partial_order,

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pricenet.functions.validation import check_metric_weights
 from pricenet.operators import scoring as W
 from pricenet.plans.analysis import Analysis
+from pricenet.plans.publish import publish_results
 from pricenet.plans.report import render_markdown, save_report, save_results, summary_counts, top5_by_year
 from pricenet.session import GROUP, drop_run_tables
 from pricenet.sources.panel import read_observations
@@ -33,13 +34,16 @@ def run_full_analysis(observations: DataFrame, cities: Sequence[str], tau: float
                       years: Sequence[int] | None = None, categories: Sequence[str] | None = None,
                       output_dir: str | None = None, weighted: bool = False,
                       category_weights: Mapping[str, float] | None = None,
-                      metric_weights: Mapping[str, float] | None = None, fmt: str = "parquet") -> dict[str, Any]:
+                      metric_weights: Mapping[str, float] | None = None, fmt: str = "parquet",
+                      publish: bool = False) -> dict[str, Any]:
     """Build networks, centralities, scores, roll-up and evolution; save.
 
     Returns the result tables (DataFrames; the shared ones are already
     materialised), the markdown report and ``failed``, the names of steps
     that raised.  With ``output_dir`` tables are written in ``fmt`` (parquet
-    or csv), the report beside them.  ``category_weights`` scale the scores of
+    or csv), the report beside them.  With ``publish`` they are staged and
+    appear as a whole (see :mod:`pricenet.plans.publish`), or, where a step
+    has failed, not at all.  ``category_weights`` scale the scores of
     categories (unnamed ones by 0.1), ``metric_weights`` make the interactive
     score (equal weights where none are given).
     """
@@ -67,7 +71,11 @@ def run_full_analysis(observations: DataFrame, cities: Sequence[str], tau: float
     step("network_evolution", ["networks"], lambda: a.evolution.orderBy(*GROUP))
     step("report", ["centrality_scores", "final_rankings", "network_evolution"], lambda: render_markdown(
         summary_counts(a.networks, a.centrality, a.evolution), top5_by_year(a.year_scores)))
-    if output_dir:
+    if output_dir and publish:
+        if not results["failed"]:
+            step("published", [], lambda: publish_results(results, results["report"], observations.sparkSession,
+                                                          output_dir, fmt))
+    elif output_dir:
         step("saved", [], lambda: save_results(results, output_dir, fmt))
         step("saved_report", ["report"], lambda: save_report(observations.sparkSession, results["report"], output_dir))
     return results
@@ -100,6 +108,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--threshold", type=float, default=0.75)
     p.add_argument("--output", default="data/results")
     p.add_argument("--output-format", choices=["parquet", "csv"], default="parquet")
+    p.add_argument("--publish", action="store_true", help="stage the results, let them appear as a whole")
     p.add_argument("--rejects", help="table for bad input rows")
     p.add_argument("--category-weights", type=parsed_weights, help="Food=0.25,Fuel=0.35 or a JSON object")
     p.add_argument("--metric-weights", type=parsed_weights, help="D_i=0.4,C_i=0.3,B_i=0.2,E_i=0.1 or a JSON object")
@@ -113,7 +122,8 @@ def main(argv: Sequence[str] | None = None) -> int:
         years = [] if first is None else [first]
     res = run_full_analysis(obs, args.cities.split(","), tau=args.threshold, years=years,
                             categories=args.categories, output_dir=args.output, fmt=args.output_format,
-                            category_weights=args.category_weights, metric_weights=args.metric_weights)
+                            category_weights=args.category_weights, metric_weights=args.metric_weights,
+                            publish=args.publish)
     drop_run_tables(spark)
     if res.get("report"):
         print(res["report"])

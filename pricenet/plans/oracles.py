@@ -251,6 +251,8 @@ CTES: dict[str, tuple[list[str], str]] = {
     "nested": (["pairs"], " UNION ALL ".join(
         f"SELECT year, category, {i + 1} AS step, u, v FROM pairs WHERE sim >= {t!r}"
         for i, t in enumerate(Q.NESTED_TAUS))),
+    "turns": (["pairs"], "SELECT year, category, u, v FROM pairs WHERE sim >= CASE year % 2 "
+                         f"WHEN 0 THEN {Q.TURN_TAUS[0]!r} ELSE {Q.TURN_TAUS[1]!r} END"),
     "nrel": (["nested"], """
         SELECT s.year, s.category, s.t_from, s.t_to
         FROM (SELECT a.year, a.category, a.step AS t_from, b.step AS t_to, count(*) AS shared
@@ -273,6 +275,16 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
+# Contained pairs of year graphs by counts of shared edges.
+CONTAINED_YEARS = """
+        SELECT s.category, s.t_from, s.t_to
+        FROM (SELECT a.category, a.year AS t_from, b.year AS t_to, count(*) AS shared
+              FROM edges a JOIN edges b ON a.category = b.category AND a.u = b.u AND a.v = b.v GROUP BY 1, 2, 3) s
+        JOIN (SELECT category, year, count(*) AS size FROM edges GROUP BY 1, 2) z
+          ON z.category = s.category AND z.year = s.t_from
+        WHERE s.shared = z.size"""
+
+
 def build(final: str, needs: list[str], tau: float = Q.TAU) -> str:
     """WITH RECURSIVE prefix of the needed CTEs (dependencies first), then ``final``.
 
@@ -524,13 +536,8 @@ ORACLES: dict[str, str] = {
         SELECT year, category, count(*) FILTER (WHERE sim < 0.5) = 0 AS is_subset
         FROM pairs WHERE sim >= 0.2 GROUP BY 1, 2""", ["pairs"]),
     "containment_relation": build("SELECT year, category, t_from, t_to FROM nrel", ["nrel"]),
-    "containment_relation_years": build("""
-        SELECT s.category, s.t_from, s.t_to
-        FROM (SELECT a.category, a.year AS t_from, b.year AS t_to, count(*) AS shared
-              FROM edges a JOIN edges b ON a.category = b.category AND a.u = b.u AND a.v = b.v GROUP BY 1, 2, 3) s
-        JOIN (SELECT category, year, count(*) AS size FROM edges GROUP BY 1, 2) z
-          ON z.category = s.category AND z.year = s.t_from
-        WHERE s.shared = z.size""", ["edges"]),
+    "containment_relation_years": build(CONTAINED_YEARS, ["edges"]),
+    "containment_relation_turns": build(CONTAINED_YEARS.replace("edges", "turns"), ["turns"]),
     "containment_reduction": build("SELECT year, category, t_from, t_to FROM nred", ["nred"]),
     "hasse_edges": build("""
         SELECT r.year, r.category, r.t_from, r.t_to, k.num_years

@@ -13,7 +13,7 @@ from tools.check_oracles import TABLES, rows_of
 CHECKED = ["observations", "prep_categorize", "vector_dedup", "network_statistics", "edge_subset_swapped",
            "partial_order_broken", "prep_zscore", "cosine_pairs", "similarity_stats", "threshold_edges", "shortest_paths",
            "betweenness_centrality", "eigenvector_centrality", "centrality_all", "scores_all",
-           "rankings", "compare_schemes", "containment_reduction", "partial_order_check",
+           "rankings", "compare_schemes", "containment_reduction", "containment_relation_turns", "overview_counts", "partial_order_check",
            "network_evolution", "report_summary"]
 
 

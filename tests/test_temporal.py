@@ -1,5 +1,7 @@
 """Containment order and evolution."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from pricenet.operators import temporal as T
@@ -79,3 +81,30 @@ def test_global_subset_and_hasse(spark):
     red = T.containment_reduction(T.containment_relation(e, [], "year"), [])
     h = T.hasse_edges(red, []).collect()
     assert {(r.t_from, r.t_to) for r in h} == {(2021, 2022), (2022, 2023)} and {r.num_years for r in h} == {3}
+
+
+def test_containment_by_rarest_edge_against_sets(spark):
+    rng = random.Random(11)
+    names = [f"c{i}" for i in range(7)]
+    every = [(a, b) for a in names for b in names if a < b]
+    graphs = {}
+    for cat in ("Food", "Fuel", "Rent"):
+        for year in range(2000, 2014):
+            earlier = [e for (c, _), e in graphs.items() if c == cat]
+            base = rng.choice(earlier) if earlier and rng.random() < 0.6 else []
+            graphs[cat, year] = sorted({*base, *rng.sample(every, rng.choice([0, 1, 1, 2, 5])), ("c0", "c1")}
+                                       if rng.random() < 0.8 else {*rng.sample(every, 1)})
+    edges = _edges(spark, graphs)
+    edges = edges.unionByName(edges.where("year < 2003")).withColumn("_size", F.lit(0))  # repeated rows, a clashing column
+    got = [(r.category, r.t_from, r.t_to) for r in T.containment_relation(edges, ["category"], "year").collect()]
+    want = {(c, i, j) for (c, i), a in graphs.items() for (d, j), b in graphs.items() if c == d and set(a) <= set(b)}
+    assert len(got) == len(set(got)) and set(got) == want
+    held = {(c, j, e) for (c, j), b in graphs.items() for e in b}
+    for r in T.rarest_edges(edges.select("category", F.col("year").alias("_t"), "u", "v").distinct(), ["category"]).collect():
+        counts = {e: sum((r.category, j, e) in held for j in range(2000, 2014)) for e in graphs[r.category, r._t]}
+        assert r._size == len(counts) and r._rarest._held == min(counts.values()) == counts[r._rarest.u, r._rarest.v]
+
+
+def test_containment_of_no_edges(spark):
+    empty = _edges(spark, CHAIN).where("false")
+    assert T.containment_relation(empty, ["category"], "year").count() == 0
