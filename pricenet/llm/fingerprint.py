@@ -8,18 +8,21 @@ containment, and the sketch of a union is the union of sketches.
 The registered use also edits each text with the start of the next document.
 Neighbours meet in one shuffle: ids are cut into ranges at their own
 quantiles, the first document of each range is also sent to the range before,
-and a window takes the following row.  All of it is DataFrame operations.
+and a window takes the following row.  Only texts are shuffled: sketches are
+made where a range has met.  All of it is DataFrame operations.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
-FRACTION = 8
+# One shingle in so many is kept.
+FRACTION = 2
 SPACE = " \t\n\x0b\x0c\r"
 # Ranges of ids: about so many documents at least, and so many ranges at most.
 RANGE_ROWS = 64
@@ -93,11 +96,11 @@ def merged(sketches: DataFrame, key: str, column: str) -> DataFrame:
             .groupBy(key).agg(F.array_sort(F.collect_list("h")).alias(column)))
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, carried: list[str], made: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Rows of (id, text, ...) with ``next_<c>`` of the row that follows by id.
 
     The last row is followed by the first.  Equal ids are ordered by text, null
-    ids come last.
+    ids come last.  ``made`` adds columns to the rows after their shuffle.
     """
     rows, lowest = docs.agg(F.count(F.lit(1)), F.min("id")).first()
     ranges = max(1, min(MOST_RANGES, rows // RANGE_ROWS, max(FEW_RANGES, rows // LARGE_RANGE)))
@@ -123,7 +126,7 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     dealt = ranged.withColumn("to", F.explode(copies)).select(*docs.columns, "to.range", "to.copy")
     order = (Window.partitionBy("range")
              .orderBy("copy", F.col("id").asc_nulls_last(), F.xxhash64("text"), "text"))
-    return (dealt.withColumns({f"next_{c}": F.lead(c).over(order) for c in carried})
+    return (made(dealt.repartition("range")).withColumns({f"next_{c}": F.lead(c).over(order) for c in carried})
             .where("copy = 0").drop("range", "copy"))
 
 
@@ -137,10 +140,11 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Null texts are empty; empty texts have an empty fingerprint, alike to other
     empty ones only.  A single document follows itself.  Equal ids are ordered
-    by text, null ids come last.  Other columns are not read.
+    by text, null ids come last.  Other columns are not read.  A text of any
+    length is read whole; an empty table gives an empty table.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    paired = with_next(with_sketch(base, F.col("text"), "sketch"), ["text", "sketch"])
+    paired = with_next(base, ["text", "sketch"], lambda df: with_sketch(df, F.col("text"), "sketch"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half),

@@ -1,8 +1,10 @@
 """Fingerprints against a reading of the texts in Python."""
 
 import hashlib
+from functools import reduce
 
 import pytest
+import xxhash
 
 from pricenet.llm import fingerprint, queries
 from tests.conftest import SF_CHECK
@@ -32,6 +34,43 @@ def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_sketch(text):
+    """The kept shingle hashes, by plain loops."""
+    chained = lambda hashes: reduce(
+        lambda seed, h: xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed=seed), hashes, 42)
+    words = [xxhash.xxh64_intdigest(w, seed=42) for w in text.lower().encode().split()]
+    every = {signed(chained(words[i:i + 5])) for i in range(max(1, len(words) - 4))} if words else set()
+    return {h for h in every if h < -(1 << 63) + (1 << 64) // fingerprint.FRACTION or h == min(every)}
+
+
+def brute_text(text):
+    return "".join(f"{h & (1 << 64) - 1:016X}" for h in sorted(brute_sketch(text)))
+
+
+def test_sketches_by_plain_loops(spark):
+    rows = {r.doc_id: r for r in queries.op9_fingerprints(spark, SF_CHECK).collect()}
+    for i, text, after, edited in edits(brute_order(spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect())):
+        r, own, changed, following = rows[i], *map(brute_sketch, (text, edited, after))
+        assert (r.fingerprint, r.edited_fingerprint) == (brute_text(text), brute_text(edited))
+        assert r.near_edited == pytest.approx(jaccard(own, changed)) and r.near_next == pytest.approx(jaccard(own, following))
+        assert r.contained_next == pytest.approx(len(own & following) / len(own) if own else 1.0)
+
+
+def test_error_by_length(spark):
+    """Mean error of the likeness to the edited text, for texts of 20 words and more."""
+    rows = {r.doc_id: r.near_edited for r in queries.op9_fingerprints(spark, SF_CHECK).collect()}
+    off = {20: [], 50: [], 200: []}
+    for i, text, _, edited in edits(brute_order(spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect())):
+        for least in [n for n in off if len(text.split()) >= n][-1:]:
+            off[least].append(abs(rows[i] - jaccard(shingles(text), shingles(edited))))
+    for least, most in ((20, 0.12), (50, 0.08), (200, 0.04)):
+        assert sum(off[least]) / len(off[least]) < most
+
+
 def test_whole_table(spark):
     rows = {r.doc_id: r for r in queries.op9_fingerprints(spark, SF_CHECK).collect()}
     want = edits(brute_order(spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect()))
