@@ -52,6 +52,21 @@ def test_clusters_around_the_threshold(spark, monkeypatch, dim, kind):
     check(D.near_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")), rows)
 
 
+def test_all_pairs_in_doubt(spark, monkeypatch):
+    """Cosines so close to the threshold that full vectors have to decide nearly all of them."""
+    monkeypatch.setattr(D, "BLOCK", 60)
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=64)
+    noise = rng.normal(size=(300, 64))
+    noise -= np.outer(noise @ centre, centre) / (centre @ centre)
+    x = np.sqrt(0.9) * centre / np.linalg.norm(centre) + np.sqrt(0.1) * noise / np.linalg.norm(noise, axis=1)[:, None]
+    near = D.unit(x) @ D.unit(x).T
+    _, _, error = D.quantised(D.unit(x))
+    assert (np.abs(near - 0.9) < 2 * error.mean()).mean() > 0.3
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    check(D.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), rows)
+
+
 def test_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 0.0]),
