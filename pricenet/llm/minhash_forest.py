@@ -16,8 +16,9 @@ product over the shingles that occur twice in it, and returns a spanning set
 of its links, never the pairs.  So within a region every two nodes have been
 compared or were already connected, whatever its size.
 
-The number of trees follows from the similarity: a pair at the threshold shares
-no region with a probability of at most ``MISS``.
+The number of trees and the signature filter follow from the similarity: a pair
+at the threshold shares no region, or is dropped by its signatures, with a
+probability of at most ``MISS``.
 """
 
 from __future__ import annotations
@@ -45,8 +46,6 @@ SMALL = 8
 # Members of a block of a larger region, and shingles of a matrix product at a time.
 BLOCK = 256
 COLUMNS = 8192
-# Standard deviations by which a signature may fall short of the threshold.
-DEVIATIONS = 5.0
 # Words whose hashes a worker holds, their longest in bytes, and shingles that are hashed at a time.
 HELD = 200_000
 HELD_BYTES = 64
@@ -59,6 +58,22 @@ def trees_for(similarity: float) -> int:
     return math.ceil(math.log(MISS) / math.log(1 - similarity ** DEPTH))
 
 
+def agreements_for(percent: int, size: int) -> int:
+    """Fewest equal values of two signatures that let a pair pass.
+
+    A pair at the threshold agrees in a binomial number of ``size`` values; it
+    has fewer with a probability of at most what the trees leave of ``MISS``.
+    """
+    t = percent / 100
+    spare = MISS - (1 - t ** DEPTH) ** trees_for(t)
+    below = 0.0
+    for least in range(size + 1):
+        below += math.comb(size, least) * t ** least * (1 - t) ** (size - least)
+        if below > spare:
+            return least
+    return size
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -222,8 +237,7 @@ def _likely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             continue
         na, nb = batch.column(2).to_numpy(), batch.column(4).to_numpy()
         x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u4").reshape(len(na), -1) for c in (3, 5))
-        share, t = (x == y).mean(axis=1), percent / 100
-        keep = (share >= t - DEVIATIONS * math.sqrt(t * (1 - t) / x.shape[1])) \
+        keep = ((x == y).sum(axis=1) >= agreements_for(percent, x.shape[1])) \
             & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
         yield batch.select([0, 1]).filter(pa.array(keep))
 
@@ -413,7 +427,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     their component is their own id.  Equal sets are linked.  Repeated rows give
     repeated results; rows with one id and other texts count as documents of
     their own.  A null id joins its group and is kept only in a group without
-    other ids.  Other columns are not read.
+    other ids.  Other columns are not read.  Texts of any length are read whole;
+    an empty table gives an empty table.
     """
     rows, assigned = _grouped(docs, k, percent, id_col, text_col)
     return (rows.where("n > 0").join(assigned.select("node", "component_id"), "node").select("id", "n", "component_id")

@@ -1,5 +1,6 @@
 """Near-duplicates against all pairs on small tables, and components against union-find."""
 
+import math
 import random
 import re
 
@@ -187,3 +188,14 @@ def test_components(spark):
     joined = {x for a, b in links if a != b for x in (a, b)}
     assert got == {n: want[n] for n in joined}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_loss_at_the_threshold(percent):
+    """No shared region, or too few equal values: together at most ``MISS``."""
+    t = percent / 100
+    size = M.DEPTH * M.trees_for(t)
+    least = M.agreements_for(percent, size)
+    dropped = sum(math.comb(size, k) * t ** k * (1 - t) ** (size - k) for k in range(least))
+    assert (1 - t ** M.DEPTH) ** M.trees_for(t) + dropped <= M.MISS
+    assert least > size * t / 2
