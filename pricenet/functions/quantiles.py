@@ -20,7 +20,7 @@ def _held_before(ranged: DataFrame, keys: Sequence[str], held: Column) -> DataFr
     """(keys, _pid, _off): how much of the key lies in earlier ranges; a row per key and range."""
     counts = ranged.groupBy(*keys, "_pid").agg(held.alias("_c"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    return cut_lineage(counts.select(*keys, "_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off")))
+    return counts.select(*keys, "_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
 
 
 def distributed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank",
@@ -50,7 +50,7 @@ def exact_median(df: DataFrame, key: str, value: str, partitions: int | None = N
     counted = (df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
                .where(F.col("_v").isNotNull()).groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_c")))
     ranged = _ranged(counted, [F.col("_k"), F.col("_v")], partitions)
-    totals = cut_lineage(ranged.groupBy("_k").agg(F.sum("_c").alias("_n")))
+    totals = ranged.groupBy("_k").agg(F.sum("_c").alias("_n"))
     inside = Window.partitionBy("_k", "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     placed = (ranged.withColumn("_seen", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
               .join(_held_before(ranged, ["_k"], F.sum("_c")), ["_k", "_pid"]).join(totals, "_k")
