@@ -149,7 +149,7 @@ def q_prep_unpivot(spark, d):
 
 def q_prep_categorize(spark, d):
     """Items are part keys, their categories come from the lookup alone; some parts are not in it."""
-    raw = panel.raw_price_panel(spark, d, item_col="p_partkey").drop("category")
+    raw = panel.raw_price_panel(spark, d, item_col="p_partkey", fine=True).drop("category")
     lookup = (panel.table(spark, d, "part").where(F.col("p_type") != UNPRICED_CATEGORY)
               .select(F.col("p_partkey").cast("string").alias("item_description"), F.col("p_type").alias("category")))
     return panel.categorize(raw, lookup, default="Other")

@@ -12,6 +12,7 @@ converted to these types, never inferred.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -37,6 +38,10 @@ _RENAME = {
 # Literal city appended to the fixture roster so zero vectors are exercised.
 ABSENT_CITY = "NATION_ABSENT"
 
+# Order lines a task sorts or groups at once, and how many such shares are left to the planner.
+TASK_ROWS = 250_000
+FEW_SHARES = 8
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -152,6 +157,16 @@ def zscore(df: DataFrame, value_col: str = "price", by: Sequence[str] = ("catego
 
 # ------------------------------------------------------- driver fixture
 
+def _shares(rows: DataFrame) -> int:
+    """Partitions of :data:`TASK_ROWS` rows each, by the files' own row counts; 0 leaves few rows to the planner."""
+    parts = math.ceil(rows.count() / TASK_ROWS)
+    return parts if parts > FEW_SHARES else 0
+
+
+def _dealt(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    return df.repartition(parts, *keys) if parts else df
+
+
 def line_prices(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> DataFrame:
     """One row per order line of the TPC-H-like tables (P2 applied to order dates).
 
@@ -160,7 +175,10 @@ def line_prices(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> D
     marked, ``ordinal`` = place of the line (line numbers repeat within orders
     of the test tables, so part and price complete it).  Joins are written
     dimension-last so the lineitem stream is shuffled only on its join keys.
+    Lines and orders meet in as many partitions as the lines need: shuffled
+    lines are so small that partitions merged by size would hold millions.
     """
+    parts = _shares(table(spark, sf_dir, "lineitem"))
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag",
         safe_div("l_extendedprice", "l_quantity").alias("unit_price"))
@@ -175,6 +193,7 @@ def line_prices(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> D
     order_city = (orders.join(cust, orders.o_custkey == cust.c_custkey)
                   .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
                   .select("o_orderkey", "city", "year", "month_year"))
+    li, order_city = _dealt(li, parts, "l_orderkey"), _dealt(order_city, parts, "o_orderkey")
     return (li.join(order_city, li.l_orderkey == order_city.o_orderkey)
             .join(part, li.l_partkey == part.p_partkey)
             .select("city", "year", "category", "month_year", "item_description", "unit_price",
@@ -182,15 +201,19 @@ def line_prices(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> D
                     F.struct("l_orderkey", "l_linenumber", "l_partkey", "unit_price").alias("ordinal")))
 
 
-def raw_price_panel(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> DataFrame:
+def raw_price_panel(spark: SparkSession, sf_dir: str, item_col: str = "p_type", fine: bool = False) -> DataFrame:
     """Price panel: mean unit price per (city, category, month, item).
 
     The grouping runs map-side partial aggregation and collapses to at most
-    cities x months x items rows.
+    cities x months x items rows.  ``fine`` items are so many that hardly two
+    lines share a group: their lines are dealt out by the whole group first,
+    as map-side groups would only hold them once more.
     """
-    return (line_prices(spark, sf_dir, item_col)
-            .groupBy("city", "year", "category", "month_year", "item_description")
-            .agg(F.avg("unit_price").alias("price")))
+    keys = ["city", "year", "category", "month_year", "item_description"]
+    lines = line_prices(spark, sf_dir, item_col)
+    if fine:
+        lines = _dealt(lines.select(*keys, "unit_price"), _shares(table(spark, sf_dir, "lineitem")), *keys)
+    return lines.groupBy(*keys).agg(F.avg("unit_price").alias("price"))
 
 
 def fixture_observations(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> DataFrame:

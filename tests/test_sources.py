@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from pricenet.plans import job
+from pricenet.plans import catalog, job
 from pricenet.operators import vectors as V
 from pricenet.plans.report import REPORT_FILE, RESULT_TABLES, save_results
 from pricenet.sources import manifest, panel
@@ -168,3 +168,43 @@ def test_run_tables_are_dropped(spark, tmpdir_path, monkeypatch):
     assert os.path.isdir(folder)
     session.drop_run_tables(spark)
     assert not os.path.exists(folder)
+
+
+@pytest.fixture
+def many_lines(spark, tmpdir_path):
+    """Tables of 40,000 lines on 5,000 orders and 2,000 parts; part 1 is on every fourth line."""
+    rows = lambda n, *cols: spark.range(n).selectExpr(*cols)
+    tables = {
+        "nation": rows(5, "cast(id as int) n_nationkey", "'N' || id n_name"),
+        "customer": rows(300, "id c_custkey", "cast(id % 6 as int) c_nationkey"),
+        "part": rows(2000, "id p_partkey", "if(id % 3 = 0, 'SMALL', 'LARGE') p_type"),
+        "orders": rows(5000, "id o_orderkey", "id % 310 o_custkey",
+                       "timestamp(date_add(date'2020-01-01', cast(id % 700 as int))) o_orderdate"),
+        "lineitem": rows(40000, "id % 5000 l_orderkey", "if(id % 4 = 0, 1, id * 7 % 2010) l_partkey",
+                         "cast(id % 3 as int) l_linenumber", "cast(id % 9 as double) l_quantity",
+                         "if(id % 11 = 0, null, id % 97 + 0.5) l_extendedprice", "'R' l_returnflag")}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmpdir_path}/{name}.parquet")
+    return tmpdir_path
+
+
+def _most_in_a_task(df):
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_lines_of_a_task_do_not_grow_with_the_table(spark, many_lines, monkeypatch):
+    """Joined lines and fine groups come in shares of TASK_ROWS, one hot part or not."""
+    monkeypatch.setattr(panel, "TASK_ROWS", 1000, raising=False)
+    assert _most_in_a_task(panel.line_prices(spark, many_lines)) < 3 * 1000
+    assert _most_in_a_task(catalog.q_prep_categorize(spark, many_lines)) < 3 * 1000
+
+
+def test_dealt_lines_give_the_same_panel(spark, many_lines, monkeypatch):
+    def found():
+        return sorted((*r[:4], r.category, r.price and round(r.price, 9))
+                      for r in catalog.q_prep_categorize(spark, many_lines)
+                      .select("city", "year", "month_year", "item_description", "category", "price").collect())
+    plain = found()
+    monkeypatch.setattr(panel, "TASK_ROWS", 1000, raising=False)
+    assert panel._shares(panel.table(spark, many_lines, "lineitem")) == 40
+    assert len(plain) > 10000 and {r[4] for r in plain} == {"LARGE", "Other"} and found() == plain
